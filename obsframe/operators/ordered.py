@@ -73,6 +73,18 @@ def totals_before(totals: DataFrame, keys: Sequence[str], chunk: str, value: str
     )
 
 
+def join_per_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, table: DataFrame) -> DataFrame:
+    """Left join of ``table``, which has one row per key, without a task per key.
+
+    The table is first joined to the distinct (keys, chunk) pairs; rows then meet it
+    on keys and chunk, so a key that holds most rows is spread over its chunks.
+    """
+    keys = list(keys)
+    rows = df.withColumn("_chunk", chunk)
+    pairs = _join_on(rows.select(*keys, "_chunk").distinct(), table, keys)
+    return _join_on(rows, pairs, [*keys, "_chunk"]).drop("_chunk")
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],

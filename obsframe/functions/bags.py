@@ -5,6 +5,8 @@ None of them adds a key twice, so the session's duplicate-key policy never matte
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,12 +33,33 @@ def without(bag, *keys: str) -> Column:
     return F.map_filter(as_col(bag), lambda k, _: ~k.isin(list(keys)))
 
 
+def edit(bag, puts: Mapping[str, object], drop: Sequence[str] = ()) -> Column:
+    """Set and drop several keys in one rebuild of the bag.
+
+    A NULL value leaves its key as it was.  Rebuilding a map is the dear part of a
+    rewrite, so steps on the same bag are best gathered into one call.
+    """
+    source = bag_or_empty(bag)
+    kept = F.filter(F.map_entries(source), lambda e: ~e["key"].isin([*puts, *drop]))
+    parts = [kept]
+    for key, value in puts.items():
+        new = as_col(value).cast("string")
+        pair = F.struct(
+            F.lit(key).alias("key"), F.coalesce(new, value_of(source, key)).alias("value")
+        )
+        parts.append(
+            F.when(new.isNotNull() | has(source, key), F.array(pair)).otherwise(_no_pairs())
+        )
+    return F.map_from_entries(F.concat(*parts))
+
+
+def _no_pairs() -> Column:
+    return F.expr("cast(array() as array<struct<key:string,value:string>>)")
+
+
 def put(bag, key: str, value) -> Column:
     """Set ``key``; a NULL value leaves the bag as it is."""
-    value = as_col(value).cast("string")
-    return F.when(value.isNull(), as_col(bag)).otherwise(
-        F.map_concat(without(bag_or_empty(bag), key), F.create_map(F.lit(key), value))
-    )
+    return F.when(as_col(value).isNull(), as_col(bag)).otherwise(edit(bag, {key: value}))
 
 
 def put_if_absent(bag, key: str, value) -> Column:

@@ -128,13 +128,18 @@ def uniform_draw(key) -> Column:
 
 def label_map(labels: Mapping[str, object]) -> Column:
     """MAP<STRING,STRING> of labels; values are columns, NULL values are left out."""
-    pairs = [F.struct(F.lit(k).alias("key"), as_col(v).cast("string").alias("value")) for k, v in labels.items()]
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
+    none = F.expr("cast(array() as array<struct<key:string,value:string>>)")
+    pairs = []
+    for key, value in labels.items():
+        text = as_col(value).cast("string")
+        pair = F.struct(F.lit(key).alias("key"), text.alias("value"))
+        pairs.append(F.when(text.isNotNull(), F.array(pair)).otherwise(none))
+    return F.map_from_entries(F.concat(none, *pairs))
 
 
 def series_key(labels) -> Column:
     """Groupable text form of a label map: the same labels give the same text."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(as_col(labels)))))
+    return F.to_json(F.sort_array(F.map_entries(as_col(labels))))
 
 
 def seconds(interval: str | int | float) -> float:

@@ -23,12 +23,9 @@ def attr_extract(df: DataFrame, bag: str, src: str, pattern: str, groups: Sequen
     Groups are named by position.  Without a match the bag stays as it is.
     """
     text = bags.value_of(bag, src)
-    pairs = [x for i, g in enumerate(groups, 1) for x in (F.lit(g), F.regexp_extract(text, pattern, i))]
+    found = {g: F.regexp_extract(text, pattern, i) for i, g in enumerate(groups, 1)}
     return df.withColumn(
-        bag,
-        F.when(
-            text.rlike(pattern), F.map_concat(bags.without(bag, *groups), F.create_map(*pairs))
-        ).otherwise(F.col(bag)),
+        bag, F.when(text.rlike(pattern), bags.edit(bag, found)).otherwise(F.col(bag))
     )
 
 
@@ -58,13 +55,50 @@ def attr_set(df: DataFrame, bag: str, key: str, value: Column | str) -> DataFram
 
 def promote_labels(points: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Copy resource attributes to point labels: ``{label: resource key}``."""
-    for label, key in mapping.items():
-        points = attr_set(points, "labels", label, bags.value_of("resource", key))
-    return points
+    found = {label: bags.value_of("resource", key) for label, key in mapping.items()}
+    return points.withColumn("labels", bags.edit("labels", found))
 
 
 def process_logs(logs: DataFrame) -> DataFrame:
-    """The whole log rewrite: resource, cross-bag and attribute steps in order."""
+    """The whole log rewrite, each bag rebuilt once.
+
+    Same result as the single steps in order: insert the resource marker; container
+    id from the host name, which is deleted; level from the severity; file path and
+    line number from ``name``; the line as integer text; ``name`` copied and deleted.
+    """
+    path_key, line_key = fixed.LOG_LOCATION_KEYS
+    marked = bags.has("resource", fixed.LOG_RESOURCE_KEY)
+    read = logs.withColumns({
+        "_host": bags.value_of("resource", "host.name"),
+        "_name": bags.value_of("attributes", "name"),
+        "_line": bags.value_of("attributes", line_key),
+        "_marker": F.when(~marked, F.lit(fixed.LOG_RESOURCE_VALUE)),
+    })
+    # Both groups of the pattern are non-empty where it matches.
+    found = read.withColumns({
+        "_path": F.nullif(F.regexp_extract("_name", fixed.LOG_LOCATION_PATTERN, 1), F.lit("")),
+        "_line": F.coalesce(
+            F.nullif(F.regexp_extract("_name", fixed.LOG_LOCATION_PATTERN, 2), F.lit("")), "_line"
+        ),
+    })
+    line = F.coalesce(F.col("_line").try_cast("bigint").cast("string"), "_line")
+    resource = bags.edit(
+        "resource", {fixed.LOG_RESOURCE_KEY: "_marker", "container_id": "_host"}, ["host.name"]
+    )
+    attributes = bags.edit(
+        "attributes",
+        {"level": "severity_text", path_key: "_path", line_key: "_line", "name-copied": "_name"},
+        ["name"],
+    )
+    return (
+        found.withColumn("_line", line)
+        .withColumns({"resource": resource, "attributes": attributes})
+        .drop("_host", "_name", "_line", "_marker", "_path")
+    )
+
+
+def process_logs_stepwise(logs: DataFrame) -> DataFrame:
+    """:func:`process_logs` as its single steps, for pipelines that change some of them."""
     return (
         logs.transform(
             attr_insert, "resource", fixed.LOG_RESOURCE_KEY, fixed.LOG_RESOURCE_VALUE

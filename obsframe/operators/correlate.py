@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe import fixed
-from obsframe.functions.bags import bag_or_empty, put
+from obsframe.functions.bags import bag_or_empty, edit
 from obsframe.functions.scalars import hex_pad, is_valid_span_context, micros
 from obsframe.operators.ordered import chunk_index, running_sum
 from obsframe.operators.series import matching, sum_by
@@ -104,9 +104,8 @@ def correlate_errors(
 
     def tagged(df: DataFrame, trace_id: str, span_id: str, when: Column) -> DataFrame:
         ok = when & is_valid_span_context(trace_id, span_id)
-        tags = put(bag_or_empty("tags"), "otel.trace_id", F.when(ok, hex_pad(trace_id, 32)))
-        tags = put(tags, "otel.span_id", F.when(ok, hex_pad(span_id, 16)))
-        return df.withColumn("tags", tags)
+        ids = {"otel.trace_id": hex_pad(trace_id, 32), "otel.span_id": hex_pad(span_id, 16)}
+        return df.withColumn("tags", F.when(ok, edit("tags", ids)).otherwise(bag_or_empty("tags")))
 
     if use == "span":
         return tagged(events, "trace_id", "span_id", severe)
@@ -211,14 +210,21 @@ def attach_breadcrumbs(
         .groupBy(F.col(scope).alias("_scope"), chunk_index(F.col("_n") - 1, n).alias("_block"))
         .agg(F.array_sort(F.collect_list(crumb)).alias("_crumbs"))
     )
+    # Each block with the one before it: this joins blocks, not events.
+    prev = blocks.select(
+        F.col("_scope").alias("_s0"), (F.col("_block") + 1).alias("_b0"), F.col("_crumbs").alias("_prev")
+    )
+    blocks = blocks.join(
+        prev, blocks["_scope"].eqNullSafe(prev["_s0"]) & (blocks["_block"] == prev["_b0"]), "left"
+    ).drop("_s0", "_b0")
     errors = numbered.filter("_warn = 0").withColumn("_last", chunk_index(F.col("_n") - 1, n))
-    now = blocks.withColumnsRenamed({"_scope": "_s1", "_block": "_b1", "_crumbs": "_now"})
-    prev = blocks.withColumnsRenamed({"_scope": "_s0", "_block": "_b0", "_crumbs": "_prev"})
     joined = errors.join(
-        now, errors[scope].eqNullSafe(now["_s1"]) & (errors["_last"] == now["_b1"]), "left"
-    ).join(prev, errors[scope].eqNullSafe(prev["_s0"]) & (errors["_last"] - 1 == prev["_b0"]), "left")
+        blocks,
+        errors[scope].eqNullSafe(blocks["_scope"]) & (errors["_last"] == blocks["_block"]),
+        "left",
+    )
     none = F.array().cast(blocks.schema["_crumbs"].dataType)
-    both = F.concat(F.coalesce("_prev", none), F.coalesce("_now", none))
+    both = F.concat(F.coalesce("_prev", none), F.coalesce("_crumbs", none))
     before = F.filter(both, lambda c: c["seq"] < F.col(seq))
     crumbs = F.slice(before, F.greatest(F.size(before) - n + 1, F.lit(1)), n)
     return joined.select(*events.columns, crumbs.alias("breadcrumbs"))

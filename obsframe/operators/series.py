@@ -233,14 +233,14 @@ def heatmap_cells(
 def instant(
     points: DataFrame, series: Sequence[str], t, lookback: str | float = "5 minutes"
 ) -> DataFrame:
-    """Latest point of each series in ``(t - lookback, t]``."""
+    """Latest point of each series in ``(t - lookback, t]``; one point per time is assumed."""
     t = t if isinstance(t, Column) else F.lit(t).cast("timestamp")
     oldest = F.timestamp_micros(F.unix_micros(t) - micros(lookback))
     return (
         points.filter((F.col("ts") <= t) & (F.col("ts") > oldest))
         .groupBy(*series)
-        .agg(F.max(F.struct("ts", "value")).alias("_last"))
-        .select(*series, F.col("_last.ts").alias("ts"), F.col("_last.value").alias("value"))
+        .agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
+        .select(*series, "ts", "value")
     )
 
 
@@ -262,8 +262,8 @@ def sum_by(
 
 def reduce_last(values: DataFrame, keys: Sequence[str] = (), ts: str = "t", value: str = "value") -> DataFrame:
     """Last value of each series of a range."""
-    last = values.groupBy(*keys).agg(F.max(F.struct(ts, value)).alias("_last"))
-    return last.select(*keys, F.col(f"_last.{ts}").alias(ts), F.col(f"_last.{value}").alias(value))
+    last = values.groupBy(*keys).agg(F.max(ts).alias("_ts"), F.max_by(value, ts).alias("_value"))
+    return last.select(*keys, F.col("_ts").alias(ts), F.col("_value").alias(value))
 
 
 def threshold_steps(

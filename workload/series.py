@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from obsframe import fixed
-from obsframe.functions.scalars import label_map
 from obsframe.operators import alerts as AL
 from obsframe.operators import series as S
 from workload.registry import query
@@ -112,7 +111,7 @@ def _bucket_points(spark, sf):
     flat = flat.select("service", "series", "ts", F.inline(rows))
     return flat.select(
         F.lit(fixed.EDGE_SERVER_METRIC + "_bucket").alias("metric"),
-        label_map({"server": "service", "client": "series", "le": "le"}).alias("labels"),
+        F.create_map(F.lit("server"), "service", F.lit("client"), "series", F.lit("le"), "le").alias("labels"),
         "ts", F.col("bucket").alias("value"))
 
 
@@ -126,7 +125,7 @@ def _bucket_points(spark, sf):
 def latency_heatmap(spark, sf):
     cells = S.latency_heatmap(_bucket_points(spark, sf), "bookapp", "6 hours", "1 hour")
     return cells.select(
-        F.get_json_object("series", "$.client").alias("client"), us("t"),
+        F.regexp_extract("series", '"client","value":"([^"]*)"', 1).alias("client"), us("t"),
         S.bound_text("le").alias("le"), F.round("cell", 9).alias("cell"))
 
 

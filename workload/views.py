@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.functions.scalars import label_map
 from obsframe.plans.session import configure
 
 _TRACE_NO = "CAST(floor(event_id / 8.0) AS BIGINT)"
@@ -188,11 +187,16 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # -- canonical forms: flat view columns packed into bags ----------------------
 
 
+def _bag(columns: dict[str, str]):
+    """Map of columns that are never NULL."""
+    return F.create_map(*[x for k, c in columns.items() for x in (F.lit(k), F.col(c))])
+
+
 def as_logs(flat: DataFrame) -> DataFrame:
     return flat.select(
         "event_id", "ts", "severity_text", "target", "body", "trace_id", "span_id",
-        label_map({"name": "name"}).alias("attributes"),
-        label_map({"host.name": "host_name", "service.name": "service_name"}).alias("resource"),
+        _bag({"name": "name"}).alias("attributes"),
+        _bag({"host.name": "host_name", "service.name": "service_name"}).alias("resource"),
     )
 
 
@@ -200,10 +204,10 @@ def as_points(flat: DataFrame, metric: str = "traces_spanmetrics_calls_total") -
     labels = ("service", "span_name", "span_kind", "status_code")
     return flat.select(
         F.lit(metric).alias("metric"),
-        label_map({c: c for c in labels}).alias("labels"),
+        _bag({c: c for c in labels}).alias("labels"),
         "ts", "value",
         F.lit("cumulative").alias("temporality"),
-        label_map({"container.name": "service", "kafka.cluster.alias": "series"}).alias("resource"),
+        _bag({"container.name": "service", "kafka.cluster.alias": "series"}).alias("resource"),
         "event_id",
     )
 

@@ -73,6 +73,18 @@ def duration_ns(start_nanos, end_nanos) -> Column:
     return as_col(end_nanos).try_cast("bigint") - as_col(start_nanos).try_cast("bigint")
 
 
+def json_value(text) -> Column:
+    """VARIANT of a text that is exactly one JSON value, else NULL.
+
+    The parser alone ignores what follows the first value.  Inside both an array and
+    an object, anything but one whole value is an error.
+    """
+    t = as_col(text)
+    listed = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    return F.when(named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def http_reason(code, fallback: str = fixed.INJECTED_REASON) -> Column:
     reasons = F.create_map(*[F.lit(x) for kv in fixed.HTTP_REASONS.items() for x in kv])
     return F.coalesce(F.try_element_at(reasons, as_col(code).cast("int")), F.lit(fallback))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe import fixed
-from obsframe.functions.scalars import status_to_db
-from obsframe.operators.ordered import row_rank
+from obsframe.functions.scalars import json_value, status_to_db
+from obsframe.operators.ordered import chunk_index, join_per_chunk, row_rank
 
 _ACCEPTED = 200
 _MALFORMED = 400
@@ -42,7 +42,7 @@ def validate_books(raw: DataFrame, body: str = "body", keep: Sequence[str] = ())
 
     400 malformed, 422 missing or mistyped field or unknown status, 200 accepted.
     """
-    doc = F.try_parse_json(body)
+    doc = json_value(body)
     code = F.when(F.col("_doc").isNull(), _MALFORMED).otherwise(_book_class(F.col("_doc")))
     parsed = raw.withColumn("_doc", doc).withColumn("code", code)
     return parsed.select(*keep, "code", *_book_fields(F.col("_doc"), F.col("code") == _ACCEPTED))
@@ -66,7 +66,7 @@ def validate_book_lists(raw: DataFrame, body: str = "body", keep: Sequence[str]
     )
     books = F.transform(items, lambda v: F.struct(*_book_fields(v, F.lit(True))))
     return (
-        raw.withColumn("_doc", F.try_parse_json(body))
+        raw.withColumn("_doc", json_value(body))
         .withColumn("code", code)
         .select(*keep, "code", F.when(F.col("code") == _ACCEPTED, books).alias("books"))
     )
@@ -138,7 +138,7 @@ def apply_changes(
     Returns the new table and the report (seq, op, id, rows_affected).
 
     Per id only aggregates are needed: the first delete, and the last update of ids
-    that survive.  A much-changed id is therefore combined on the map side.
+    that survive.  They are combined on the map side before anything is joined by id.
     """
     values = ["title", "author", "status"]
     default = F.lit(fixed.DEFAULT_STATUS)
@@ -161,10 +161,15 @@ def apply_changes(
     entities = standing.unionByName(inserted)
     births = entities.select(F.col("id").alias("e_id"), "birth")
     edits = changes.filter("op in ('update', 'delete')")
-    reaching = edits.join(births, edits["id"] == births["e_id"], "inner").filter(
-        F.col("birth").isNull() | (F.col("seq") > F.col("birth"))
-    )
-    fate = reaching.groupBy(F.col("id").alias("f_id")).agg(
+
+    # Ids of the table take every change to them.  Ids of this batch take the changes
+    # after their birth, met per stretch of seq so that one busy id is many tasks.
+    old = edits.filter(F.col("id") <= top)
+    new = join_per_chunk(
+        edits.filter(F.col("id") > top), ["id"], chunk_index(F.col("seq"), rank_width),
+        inserted.select("id", "birth"),
+    ).filter(F.col("seq") > F.col("birth")).drop("birth")
+    fate = old.unionByName(new).groupBy(F.col("id").alias("f_id")).agg(
         F.min(F.when(F.col("op") == "delete", F.col("seq"))).alias("deleted_at"),
         F.max_by(
             F.struct("title", "author", "status"), F.when(F.col("op") == "update", F.col("seq"))

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe import fixed, schemas
-from obsframe.functions.scalars import header_get, message_key, traceparent_format, traceparent_parse
+from obsframe.functions.scalars import (
+    header_get,
+    json_value,
+    message_key,
+    traceparent_format,
+    traceparent_parse,
+)
 
 
 def _queue_options(options: dict) -> dict:
@@ -85,21 +91,25 @@ def parse_ingestion(records: DataFrame) -> DataFrame:
     others are dead letters.  The id must be a whole JSON number in the INT range.
     """
     payload = F.coalesce("value", F.lit(""))
-    doc = F.try_parse_json(payload)
-    raw_id = F.try_variant_get(doc, "$.book_id", "variant")
+    raw_id = F.try_variant_get("_doc", "$.book_id", "variant")
     is_int = F.coalesce(F.schema_of_variant(raw_id) == "BIGINT", F.lit(False))
-    book_id = F.when(is_int, F.try_variant_get(doc, "$.book_id", "int"))
-    context = traceparent_parse(header_get("headers", "traceparent"))
-    return (
-        records.withColumn("book_id", book_id)
-        .withColumn(
-            "error",
-            F.when(doc.isNull(), "malformed payload").when(F.col("book_id").isNull(), "no valid book_id"),
-        )
-        .withColumn("_context", context)
-        .withColumn("linked_trace_id", F.col("_context.trace_id"))
-        .withColumn("linked_span_id", F.col("_context.span_id"))
-        .drop("_context")
+    # Columns used more than once are computed in a step of their own.
+    read = records.withColumns({
+        "_doc": json_value(payload), "_traceparent": header_get("headers", "traceparent")
+    })
+    found = read.withColumns({
+        "book_id": F.when(is_int, F.try_variant_get("_doc", "$.book_id", "int")),
+        "_context": traceparent_parse("_traceparent"),
+    })
+    error = F.when(F.col("_doc").isNull(), "malformed payload").when(
+        F.col("book_id").isNull(), "no valid book_id"
+    )
+    return found.select(
+        *records.columns,
+        "book_id",
+        error.alias("error"),
+        F.col("_context.trace_id").alias("linked_trace_id"),
+        F.col("_context.span_id").alias("linked_span_id"),
     )
 
 

@@ -1,0 +1,16 @@
+"""Session settings and whole flows over the operators."""
+
+from obsframe.plans.lifecycles import (
+    call_points,
+    edge_latency_points,
+    error_alert,
+    latest_error_rate,
+    log_count_points,
+    request_heatmap,
+)
+from obsframe.plans.session import configure, fresh_dir, shared_dir, written_once
+
+__all__ = [
+    "call_points", "configure", "edge_latency_points", "error_alert", "fresh_dir",
+    "latest_error_rate", "log_count_points", "request_heatmap", "shared_dir", "written_once",
+]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsframe import fixed, schemas
@@ -44,8 +45,8 @@ def consumer_lag(records: DataFrame, commits: DataFrame) -> DataFrame:
             ),
         )
     )
-    sums = lag.groupBy("group", "topic").agg(F.sum("lag").alias("lag_sum"))
-    return lag.join(sums, ["group", "topic"]).select(
+    whole = W.partitionBy("group", "topic")
+    return lag.withColumn("lag_sum", F.sum("lag").over(whole)).select(
         "group", "topic", "partition", "current_offset", "consumer_offset", "lag", "lag_sum"
     )
 

@@ -67,7 +67,8 @@ def delta_to_cumulative(
         F.sum("value").alias("_delta")
     )
     out = running_sum(
-        merged, series, ["ts_us"], chunk_index(F.col("ts_us"), micros(chunk)), "_delta", "value"
+        merged, series, ["ts_us"], chunk_index(F.col("ts_us"), micros(chunk)), "_delta", "value",
+        blocked=False,
     )
     return out.select(*series, F.timestamp_micros("ts_us").alias("ts"), "value")
 

@@ -218,7 +218,8 @@ def active_requests(
         .agg(F.sum("delta").alias("delta"))
     )
     running = running_sum(
-        changes, by, ["at_us"], chunk_index(F.col("at_us"), micros(chunk)), "delta", "active"
+        changes, by, ["at_us"], chunk_index(F.col("at_us"), micros(chunk)), "delta", "active",
+        blocked=False,
     )
     return running.filter("delta <> 0").select(
         *by, F.timestamp_micros("at_us").alias("at"), "active"

@@ -15,13 +15,14 @@ def _brute(rows):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("blocked", [True, False])
 @pytest.mark.parametrize("width", [1, 7, 1000])
-def test_running_sum_crosses_chunks_and_blocks(spark, width, monkeypatch):
+def test_running_sum_crosses_chunks_and_blocks(spark, width, blocked, monkeypatch):
     monkeypatch.setattr(R, "_FAN_OUT", 3)
     rng = random.Random(width)
     rows = [(k, t, rng.randint(-5, 5)) for k in ("a", "b", None) for t in rng.sample(range(-200, 200), 60)]
     df = spark.createDataFrame(rows, "k string, t bigint, v bigint")
-    got = R.running_sum(df, ["k"], ["t"], R.chunk_index(F.col("t"), width), "v", "s")
+    got = R.running_sum(df, ["k"], ["t"], R.chunk_index(F.col("t"), width), "v", "s", blocked=blocked)
     assert sorted(((r.k, r.t, r.s) for r in got.collect()), key=str) == _brute(rows)
 
 

@@ -132,7 +132,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "traceparent": (
             f"CASE WHEN {_UNLINKED} THEN NULL ELSE '00-' || {_TRACE_ID} || '-' || {_SPAN_ID} || '-01' END"
         ),
-        "topic": "'book_ingestion'",
+        "topic": "CASE WHEN event_id >= 0 THEN 'book_ingestion' ELSE 'other' END",
         "part": "CAST(event_id % 3 AS INT)",
         "off": "CAST(floor(event_id / 3.0) AS BIGINT)",
         "ts": "ts",

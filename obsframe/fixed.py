@@ -53,6 +53,10 @@ LOG_LOCATION_PATTERN = r"^(?:event\s+)?([^\s:]+):(\d+)"
 LOG_LOCATION_KEYS = ("file_path", "line_number")
 UNSPECIFIED_FILE = "unspecified_file_path"
 
+# -- fixed values: span events that are counted ---------------------------------
+COUNTED_NAMESPACE = ("code.namespace", "bookapp::db")
+EXCEPTION_EVENT = "exception"
+
 # -- fixed values: resource attributes promoted to point labels ---------------
 CONTAINER_LABELS = {
     "hostname": "container.hostname",

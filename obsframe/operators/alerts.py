@@ -28,30 +28,27 @@ def alert_states(
     Alerting.  An evaluation without value is NoData; one whose ``failed`` column is
     true is Error.  Both end a streak.
 
-    There is one row per rule and evaluation, so a rule's window is bounded by the
-    time range over the interval and not by the data behind the values.
+    ``values`` has one row per rule and evaluation, so a rule's window is bounded by
+    the time range over the interval and not by the data behind the values.
     """
     keys, step = list(keys), micros(interval)
-    src = values.select(
+    src = values.filter(F.col("t").isNotNull()).select(
         *keys,
-        F.unix_micros("t").alias("t_us"),
+        F.unix_micros("t").alias("at_us"),
         F.col("value").cast("double").alias("value"),
         (F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(False)).alias("failed"),
     )
-    grid = (
-        src.groupBy(*keys)
-        .agg(F.min("t_us").alias("_a"), F.max("t_us").alias("_b"))
-        .filter("_a is not null")
-        .select(*keys, F.explode(F.sequence("_a", "_b", F.lit(step).cast("bigint"))).alias("t_us"))
+    rule = W.partitionBy(*(keys or [F.lit(0)]))
+    # An evaluation fills the steps up to the next one; all but the first have no value.
+    until = F.coalesce(F.lead("at_us").over(rule.orderBy("at_us")) - 1, F.col("at_us"))
+    filled = src.withColumn("_until", F.greatest(until, F.col("at_us"))).withColumn(
+        "t_us", F.explode(F.sequence("at_us", "_until", F.lit(step).cast("bigint")))
     )
-    right = src.withColumnsRenamed({k: f"_r_{k}" for k in [*keys, "t_us"]})
-    on = grid["t_us"] == right["_r_t_us"]
-    for k in keys:
-        on = on & grid[k].eqNullSafe(right[f"_r_{k}"])
-    steps = grid.join(right, on, "left").select(
-        *keys, "t_us", "value", F.coalesce("failed", F.lit(False)).alias("failed")
-    )
-    order = W.partitionBy(*(keys or [F.lit(0)])).orderBy("t_us")
+    given = F.col("t_us") == F.col("at_us")
+    steps = filled.withColumns({
+        "value": F.when(given, F.col("value")), "failed": given & F.col("failed"),
+    })
+    order = rule.orderBy("t_us")
     breach = (
         ~F.col("failed") & F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") > threshold)
     )

@@ -208,7 +208,7 @@ def attach_breadcrumbs(
     blocks = (
         numbered.filter("_warn = 1")
         .groupBy(F.col(scope).alias("_scope"), chunk_index(F.col("_n") - 1, n).alias("_block"))
-        .agg(F.array_sort(F.collect_list(crumb)).alias("_crumbs"))
+        .agg(F.sort_array(F.collect_list(crumb)).alias("_crumbs"))
     )
     # Each block with the one before it: this joins blocks, not events.
     prev = blocks.select(

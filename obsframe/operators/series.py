@@ -53,21 +53,25 @@ def delta_to_cumulative(
     arrival: str | None = None,
     chunk: str | float = "10 minutes",
     arrival_chunk: int = 100_000,
+    merged: bool = False,
 ) -> DataFrame:
     """Running total of delta points per series, as (series.., ts, value).
 
     With an integer ``arrival`` column, points that arrive at or before the latest
     time already seen in their series are dropped.  Without one, points are taken in
-    time order and those of the same time are added up.
+    time order and those of the same time are added up; ``merged`` skips that where a
+    series is known to have one point per time.
     """
     series = list(series)
     if arrival is not None:
         points = drop_out_of_order(points, series, arrival, arrival_chunk)
-    merged = points.groupBy(*series, F.unix_micros("ts").alias("ts_us")).agg(
-        F.sum("value").alias("_delta")
-    )
+    at = F.unix_micros("ts").alias("ts_us")
+    if merged:
+        deltas = points.select(*series, at, F.col("value").alias("_delta"))
+    else:
+        deltas = points.groupBy(*series, at).agg(F.sum("value").alias("_delta"))
     out = running_sum(
-        merged, series, ["ts_us"], chunk_index(F.col("ts_us"), micros(chunk)), "_delta", "value",
+        deltas, series, ["ts_us"], chunk_index(F.col("ts_us"), micros(chunk)), "_delta", "value",
         blocked=False,
     )
     return out.select(*series, F.timestamp_micros("ts_us").alias("ts"), "value")

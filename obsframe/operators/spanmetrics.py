@@ -160,7 +160,8 @@ def span_event_count(spans: DataFrame, cond=None, window=None) -> DataFrame:
 
     Events are counted inside their array; no row per event is made.
     """
-    cond = cond or (lambda e: value_of(e["attributes"], "code.namespace") == "bookapp::db")
+    key, wanted = fixed.COUNTED_NAMESPACE
+    cond = cond or (lambda e: value_of(e["attributes"], key) == wanted)
     df, by = _grouping(spans, [], window, "start_ts")
     hits = F.size(F.filter(F.coalesce("events", F.array()), cond))
     return df.groupBy(*by).agg(F.coalesce(F.sum(hits), F.lit(0)).alias("events"))
@@ -169,7 +170,7 @@ def span_event_count(spans: DataFrame, cond=None, window=None) -> DataFrame:
 def exception_count(spans: DataFrame) -> DataFrame:
     """Exception events by service, span and exception type and message."""
     raised = spans.select(
-        *CALL_KEYS, F.explode(F.filter("events", lambda e: e["name"] == "exception")).alias("e")
+        *CALL_KEYS, F.explode(F.filter("events", lambda e: e["name"] == fixed.EXCEPTION_EVENT)).alias("e")
     )
     return raised.groupBy(
         *CALL_KEYS,

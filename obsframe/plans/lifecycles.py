@@ -31,7 +31,9 @@ def _accumulated(deltas: DataFrame, keys: Sequence[str], value: str, window: str
     """Per-window deltas as a running total, timed at the end of each window."""
     end = F.timestamp_micros(F.unix_micros("window_start") + micros(window))
     return delta_to_cumulative(
-        deltas.select(*keys, end.alias("ts"), F.col(value).cast("double").alias("value")), keys
+        deltas.select(*keys, end.alias("ts"), F.col(value).cast("double").alias("value")),
+        keys,
+        merged=True,
     )
 
 

@@ -26,12 +26,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only on a local master."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     created = tempfile.mkdtemp(prefix="obsframe-")
     spark.conf.set("spark.checkpoint.dir", created)

@@ -147,40 +147,39 @@ def stream_delta_to_cumulative(
     """
     series = list(series)
 
+    at = chunk_index(F.unix_micros("ts"), micros(chunk))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        batch = batch.select(*series, "ts", F.col("value").cast("double").alias("value"))
-        state_columns = [f"{name} {dtype}" for name, dtype in batch.select(*series).dtypes]
-        schema = ", ".join([*state_columns, "last_us bigint", "total double"])
+        points = batch.select(*series, "ts", F.col("value").cast("double").alias("value"))
+        names = ", ".join(f"{name} {dtype}" for name, dtype in points.select(*series).dtypes)
+        schema = f"{names}, last_us bigint, total double"
         if batch_id == 0:
             prior = spark.createDataFrame([], schema)
         else:
             prior = spark.read.schema(schema).parquet(f"{state}/slot={(batch_id - 1) % 2}")
-        at = chunk_index(F.unix_micros("ts"), micros(chunk))
         known = fill_keys(prior, series)
-        rows = join_per_chunk(fill_keys(batch, series), series, at, known)
-        fresh = restore_keys(
-            rows.filter(F.coalesce(F.unix_micros("ts") > F.col("last_us"), F.lit(True))).drop(
-                "last_us", "total"
-            ),
-            series,
-        )
-
-        sums = delta_to_cumulative(fresh, series, chunk=chunk)
-        written = restore_keys(
-            join_per_chunk(fill_keys(sums, series), series, at, known)
-            .withColumn("value", F.col("value") + F.coalesce("total", F.lit(0.0)))
-            .drop("last_us", "total"),
-            series,
-        )
-        written.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        added = fresh.groupBy(*series).agg(
-            F.max(F.unix_micros("ts")).alias("last_us"), F.sum("value").alias("total")
-        )
-        merged = prior.unionByName(added).groupBy(*series).agg(
-            F.max("last_us").alias("last_us"), F.sum("total").alias("total")
-        )
-        merged.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
+
+        def with_state(df: DataFrame) -> DataFrame:
+            return restore_keys(join_per_chunk(fill_keys(df, series), series, at, known), series)
+
+        def write_totals(fresh: DataFrame) -> None:
+            sums = with_state(delta_to_cumulative(fresh, series, chunk=chunk))
+            value = F.col("value") + F.coalesce("total", F.lit(0.0))
+            _batch_writer(out, batch_id)(sums.select(*series, "ts", value.alias("value")))
+
+        def write_state(fresh: DataFrame) -> None:
+            added = fresh.groupBy(*series).agg(
+                F.max(F.unix_micros("ts")).alias("last_us"), F.sum("value").alias("total")
+            )
+            merged = prior.unionByName(added).groupBy(*series).agg(
+                F.max("last_us").alias("last_us"), F.sum("total").alias("total")
+            )
+            merged.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
+
+        later = F.coalesce(F.unix_micros("ts") > F.col("last_us"), F.lit(True))
+        fresh = with_state(points).filter(later).drop("last_us", "total")
+        fan_out(fresh, {"totals": write_totals, "state": write_state})
 
     writer = points_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _triggered(writer, every).start()

@@ -67,6 +67,7 @@ def test_edges_filter_kinds_in_the_scan(stored):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert fresh_dir(spark, "x").startswith(shared_dir(spark))
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
 
 

@@ -82,7 +82,9 @@ def json_value(text) -> Column:
     t = as_col(text)
     listed = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    return F.when(named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant"))
+    return F.when(
+        (F.length(F.trim(t)) > 0) & named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant")
+    )
 
 
 def http_reason(code, fallback: str = fixed.INJECTED_REASON) -> Column:

@@ -27,6 +27,16 @@ def chunk_index(order: Column, width: int) -> Column:
     return div(order.cast("bigint") - F.pmod(order.cast("bigint"), F.lit(width)), width)
 
 
+def _known(chunk: Column) -> Column:
+    """A chunk number that is never NULL.
+
+    Chunks are join keys.  For a nullable key Spark infers a filter on one side of the
+    join; the rows and their totals then come from different plans, and the shuffle
+    under them is not reused but done twice.
+    """
+    return F.coalesce(chunk, F.lit(_MISSING_INT))
+
+
 def fill_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace NULL keys by a marker so that keys can be joined by plain equality."""
     return df.withColumns({k: F.coalesce(F.col(k), _marker(df, k)) for k in keys}) if keys else df
@@ -87,7 +97,7 @@ def join_per_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, table: Dat
     on keys and chunk, so a key that holds most rows is spread over its chunks.
     """
     keys = list(keys)
-    rows = df.withColumn("_chunk", chunk)
+    rows = df.withColumn("_chunk", _known(chunk))
     pairs = _join_on(rows.select(*keys, "_chunk").distinct(), table, keys)
     return _join_on(rows, pairs, [*keys, "_chunk"]).drop("_chunk")
 
@@ -110,7 +120,7 @@ def running_sum(
     time: ten years hold 525,600 chunks of ten minutes, whatever the data.
     """
     keys = list(keys)
-    rows = fill_keys(df, keys).withColumn("_chunk", chunk)
+    rows = fill_keys(df, keys).withColumn("_chunk", _known(chunk))
     totals = rows.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_chunk_total"))
     before = totals_before(totals, keys, "_chunk", "_chunk_total", "_before", blocked).drop(
         "_chunk_total"
@@ -152,7 +162,7 @@ def exact_quantiles(
         fill_keys(df.filter(F.col(value).isNotNull()), keys)
         .groupBy(*keys, F.col(value).cast("bigint").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", chunk_index(F.col("_v"), width))
+        .withColumn("_chunk", _known(chunk_index(F.col("_v"), width)))
     )
     totals = counts.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_chunk_n"))
     before = totals_before(totals, keys, "_chunk", "_chunk_n", "_before", blocked=False).withColumn(

@@ -37,7 +37,9 @@ def select_series(points: DataFrame, metric: str, matchers: Mapping[str, str] |
 def drop_out_of_order(points: DataFrame, series: Sequence[str], arrival: str, chunk: int) -> DataFrame:
     """Drop points not later than every earlier arrival of their series."""
     series = list(series)
-    rows = fill_keys(points, series).withColumn("_chunk", chunk_index(F.col(arrival), chunk))
+    rows = fill_keys(points, series).withColumn(
+        "_chunk", F.coalesce(chunk_index(F.col(arrival), chunk), F.lit(0))
+    )
     peaks = rows.groupBy(*series, "_chunk").agg(F.max("ts").alias("_peak"))
     earlier = W.partitionBy(*series).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     peaks = peaks.withColumn("_before", F.max("_peak").over(earlier)).drop("_peak")
@@ -218,8 +220,7 @@ def latency_heatmap(
         "le": value_of("labels", "le"),
     })
     rates = rate(buckets, ["series", "le"], window, step, mode)
-    bound = F.when(F.col("le").isin("+Inf", "Inf"), float("inf")).otherwise(F.col("le").try_cast("double"))
-    return heatmap_cells(rates.withColumn("le", bound), ["series"], hide_below)
+    return heatmap_cells(rates.withColumn("le", bound_number("le")), ["series"], hide_below)
 
 
 def heatmap_cells(
@@ -309,3 +310,9 @@ def bound_text(le) -> Column:
     """Histogram bound as label text."""
     le = as_col(le)
     return F.when(le == float("inf"), "+Inf").otherwise(le.cast("string"))
+
+
+def bound_number(le) -> Column:
+    """Histogram bound from label text."""
+    le = as_col(le)
+    return F.when(le.isin("+Inf", "Inf"), float("inf")).otherwise(le.try_cast("double"))

@@ -7,10 +7,11 @@ from obsframe.plans.lifecycles import (
     latest_error_rate,
     log_count_points,
     request_heatmap,
+    span_error_rate,
 )
 from obsframe.plans.session import configure, fresh_dir, shared_dir, written_once
 
 __all__ = [
     "call_points", "configure", "edge_latency_points", "error_alert", "fresh_dir",
-    "latest_error_rate", "log_count_points", "request_heatmap", "shared_dir", "written_once",
+    "latest_error_rate", "log_count_points", "request_heatmap", "shared_dir", "span_error_rate", "written_once",
 ]

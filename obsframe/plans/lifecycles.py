@@ -12,11 +12,12 @@ from obsframe.functions.scalars import micros
 from obsframe.operators.alerts import alert_states
 from obsframe.operators.attributes import process_logs
 from obsframe.operators.series import (
+    bound_number,
     bound_text,
     delta_to_cumulative,
-    error_rate,
-    latency_heatmap,
+    heatmap_cells,
     points_from,
+    rate,
     reduce_last,
 )
 from obsframe.operators.servicegraph import service_edges
@@ -43,18 +44,22 @@ def call_points(spans: DataFrame, window: str | float = "1 minute") -> DataFrame
     return points_from(totals, fixed.CALLS_METRIC, _SPAN_LABELS, "value", "ts")
 
 
+_EDGE_KEYS = ["client", "server", "connection_type"]
+
+
+def _edge_buckets(edges: DataFrame, window: str | float, bounds: Sequence[float]) -> DataFrame:
+    buckets = span_latency(edges, bounds, window, _EDGE_KEYS, duration="server_ns", ts="server_ts")
+    buckets = buckets.withColumn("le", bound_text("le"))
+    return _accumulated(buckets, [*_EDGE_KEYS, "le"], "bucket_count", window)
+
+
 def edge_latency_points(
     spans: DataFrame, window: str | float = "1 minute", bounds: Sequence[float] = fixed.EDGE_BOUNDS
 ) -> DataFrame:
     """Cumulative server latency buckets of all service-graph edges."""
-    keys = ["client", "server", "connection_type"]
-    buckets = span_latency(
-        service_edges(spans), bounds, window, keys, duration="server_ns", ts="server_ts"
-    ).withColumn("le", bound_text("le"))
-    totals = _accumulated(buckets, [*keys, "le"], "bucket_count", window)
-    return points_from(
-        totals, fixed.EDGE_SERVER_METRIC + "_bucket", {k: k for k in [*keys, "le"]}, "value", "ts"
-    )
+    totals = _edge_buckets(service_edges(spans), window, bounds)
+    labels = {k: k for k in [*_EDGE_KEYS, "le"]}
+    return points_from(totals, fixed.EDGE_SERVER_METRIC + "_bucket", labels, "value", "ts")
 
 
 def log_count_points(logs: DataFrame, window: str | float = "1 minute") -> DataFrame:
@@ -63,6 +68,25 @@ def log_count_points(logs: DataFrame, window: str | float = "1 minute") -> DataF
     return points_from(totals, fixed.LOG_COUNT_METRIC, {"file_path": "file_path"}, "value", "ts")
 
 
+def span_error_rate(
+    spans: DataFrame,
+    service: str = fixed.SERVICE,
+    window: str | float = "1 minute",
+    rate_window: str | float = "5 minutes",
+    step: str | float = "1 minute",
+) -> DataFrame:
+    """A service's error rate from raw spans: ``error_rate`` of their call points.
+
+    The selector is applied to the spans, where it reaches the scan, and the series
+    stay in plain columns instead of label maps.
+    """
+    failed = spans.filter(
+        (F.col("status_code") == "STATUS_CODE_ERROR") & (F.col("service_name") == service)
+    )
+    totals = _accumulated(span_calls(failed, window), CALL_KEYS, "calls", window)
+    return rate(totals, CALL_KEYS, rate_window, step).groupBy("t").agg(F.sum("rate").alias("value"))
+
+
 def error_alert(
     spans: DataFrame,
     service: str = fixed.SERVICE,
@@ -73,7 +97,7 @@ def error_alert(
     for_: str | float = "1 minute",
 ) -> DataFrame:
     """Alert states of a service's error rate, from raw spans."""
-    values = error_rate(call_points(spans, window), service, rate_window, step)
+    values = span_error_rate(spans, service, window, rate_window, step)
     return alert_states(values, threshold=threshold, for_=for_, interval=step)
 
 
@@ -85,7 +109,7 @@ def latest_error_rate(
     step: str | float = "1 minute",
 ) -> DataFrame:
     """Last value of a service's error rate, which an alert compares."""
-    return reduce_last(error_rate(call_points(spans, window), service, rate_window, step))
+    return reduce_last(span_error_rate(spans, service, window, rate_window, step))
 
 
 def request_heatmap(
@@ -94,6 +118,9 @@ def request_heatmap(
     window: str | float = "1 minute",
     rate_window: str | float = "8 minutes",
     step: str | float = "2 minutes",
+    bounds: Sequence[float] = fixed.EDGE_BOUNDS,
 ) -> DataFrame:
-    """Heatmap cells of a server's request processing time, from raw spans."""
-    return latency_heatmap(edge_latency_points(spans, window), server, rate_window, step)
+    """Heatmap cells of a server's request processing time, per edge, from raw spans."""
+    edges = service_edges(spans).filter(F.col("server") == server)
+    rates = rate(_edge_buckets(edges, window, bounds), [*_EDGE_KEYS, "le"], rate_window, step)
+    return heatmap_cells(rates.withColumn("le", bound_number("le")), _EDGE_KEYS)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from obsframe import fixed
 from obsframe.functions.bags import value_of
 from obsframe.operators.series import bound_text
 from obsframe.plans import lifecycles as P
@@ -54,7 +55,7 @@ _DAY = 24 * _HOUR
 @query("w4_request_heatmap", _V(["spans"], """
   SELECT client, connection_type, le, t_us, round(cell, 9) AS cell FROM c WHERE cell > 1e-9""",
     e=_EDGES.replace("SELECT s.trace_id,", "SELECT s.start_ts AS server_ts, s.trace_id,"),
-    bounds=_bounds((0.1, 0.2, 0.4, 0.8, 1.6, 3.2, 6.4, 12.8)),
+    bounds=_bounds(fixed.EDGE_BOUNDS),
     d="""SELECT client, connection_type, le, le_ns, time_bucket(INTERVAL 1 DAY, server_ts) AS w,
       count(*) FILTER (WHERE server_ns <= le_ns) AS n FROM e CROSS JOIN bounds WHERE server = 'bookapp' GROUP BY ALL""",
     f="""SELECT client, connection_type, le, le_ns, w + INTERVAL 1 DAY AS ts,
@@ -64,11 +65,23 @@ _DAY = 24 * _HOUR
       (PARTITION BY client, connection_type, t_us ORDER BY le_ns), 0) AS cell FROM r"""))
 def request_heatmap(spark, sf):
     out = P.request_heatmap(view(spark, sf, "spans"), "bookapp", "1 day", "3 days", "1 day")
-    label = lambda k: F.regexp_extract("series", f'"{k}","value":"([^"]*)"', 1).alias(k)
-    return out.select(label("client"), label("connection_type"), bound_text("le").alias("le"), us("t"),
+    return out.select("client", "connection_type", bound_text("le").alias("le"), us("t"),
                       F.round("cell", 9).alias("cell"))
 
 
+@query("w4_edge_latency_points", _V(["spans"], """
+  SELECT client, server, connection_type, le, epoch_us(w) + 86400000000 AS ts_us,
+    CAST(sum(n) OVER (PARTITION BY client, server, connection_type, le ORDER BY w) AS DOUBLE) AS value FROM d""",
+    e=_EDGES.replace("SELECT s.trace_id,", "SELECT s.start_ts AS server_ts, s.trace_id,"),
+    bounds=_bounds(fixed.EDGE_BOUNDS),
+    d="""SELECT client, server, connection_type, le, time_bucket(INTERVAL 1 DAY, server_ts) AS w,
+      count(*) FILTER (WHERE server_ns <= le_ns) AS n FROM e CROSS JOIN bounds GROUP BY ALL"""))
+def edge_latency_points(spark, sf):
+    points = P.edge_latency_points(view(spark, sf, "spans"), "1 day")
+    return points.select(*[value_of("labels", k).alias(k) for k in ("client", "server", "connection_type", "le")],
+                         us("ts"), "value")
+
+
 @query("a5_log_count_points", _V(["logs"], r"""
   SELECT file_path, epoch_us(w) + 86400000000 AS ts_us, CAST(sum(n) OVER (PARTITION BY file_path ORDER BY w) AS DOUBLE) AS value
   FROM (SELECT coalesce(nullif(regexp_extract(name, '^(?:event\s+)?([^\s:]+):(\d+)', 1), ''), 'unspecified_file_path') AS file_path,

@@ -140,7 +140,7 @@ def apply_changes(
     Per id only aggregates are needed: the first delete, and the last update of ids
     that survive.  They are combined on the map side before anything is joined by id.
     """
-    values = ["title", "author", "status"]
+    values, id_type = ["title", "author", "status"], table.schema["id"].dataType
     default = F.lit(fixed.DEFAULT_STATUS)
     status = F.col("status") if "status" in changes.columns else F.lit(None).cast("string")
     if force_status is not None:
@@ -177,7 +177,7 @@ def apply_changes(
     )
     after = entities.join(fate, entities["id"] == fate["f_id"], "left").filter("deleted_at is null")
     result = after.select(
-        F.col("id").cast("int").alias("id"),
+        F.col("id").cast(id_type).alias("id"),
         *[
             F.when(F.col("update").isNotNull(), F.coalesce(F.col(f"update.{c}"), F.col(c)))
             .otherwise(F.col(c))
@@ -210,4 +210,4 @@ def bulk_insert(table: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame
     """
     changes = rows.withColumn("op", F.lit("insert")).withColumn("id", F.lit(None).cast("bigint"))
     result, report = apply_changes(table, changes)
-    return result, report.select("seq", F.col("id").cast("int").alias("id"))
+    return result, report.select("seq", F.col("id").cast(table.schema["id"].dataType).alias("id"))

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsframe import fixed
 from obsframe.functions.bags import bag_or_empty, edit
 from obsframe.functions.scalars import hex_pad, is_valid_span_context, micros
 from obsframe.operators.ordered import chunk_index, running_sum

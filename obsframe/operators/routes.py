@@ -101,7 +101,7 @@ def route_template(path, patterns: Sequence[str]) -> Column:
 
 _RULE_FIELDS = ("id", "endpoint_pattern", "error_rate", "error_code", "error_message")
 _RULE_TYPE = (
-    "struct<id:int,endpoint_pattern:string,error_rate:double,error_code:int,error_message:string>"
+    "struct<id:bigint,endpoint_pattern:string,error_rate:double,error_code:int,error_message:string>"
 )
 
 

@@ -61,10 +61,11 @@ RECORDS = _struct(
     ("timestamp", _TS),
 )
 
-BOOKS = _struct(("id", T.IntegerType()), ("title", _S), ("author", _S), ("status", _S))
+# Ids are BIGINT: a table of this size class outgrows INT.
+BOOKS = _struct(("id", _L), ("title", _S), ("author", _S), ("status", _S))
 
 CONFIGS = _struct(
-    ("id", T.IntegerType()),
+    ("id", _L),
     ("endpoint_pattern", _S),
     ("http_method", _S),
     ("error_rate", T.DoubleType()),

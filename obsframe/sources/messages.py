@@ -69,7 +69,7 @@ def to_ingestion_records(df: DataFrame, topic: str = fixed.INGESTION_TOPIC) -> D
     )
     return df.select(
         message_key("book_id").alias("key"),
-        F.to_json(F.struct(F.col("book_id").cast("int").alias("book_id"))).alias("value"),
+        F.to_json(F.struct("book_id")).alias("value"),
         headers.alias("headers"),
         F.lit(topic).alias("topic"),
     )

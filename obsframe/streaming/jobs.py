@@ -141,6 +141,7 @@ def stream_delta_to_cumulative(
     Points at or before the last time written for their series are dropped; points of
     one micro-batch are taken in time order.  The state table has one row per series
     and alternates between two folders, so a repeated batch finds the state before it.
+    State and checkpoint belong together: a new checkpoint starts new totals.
 
     The work of a batch is the batch operator, so a series that fills most of a
     micro-batch is cut into time chunks instead of being one task's state.

@@ -59,9 +59,9 @@ def check_configs(spark, sf):
 
 
 @query("p21_get_books", _V(["books"], """
-  SELECT id, title, author, status FROM books WHERE id IN (SELECT CAST(o_custkey * 3 AS INT) FROM orders)"""))
+  SELECT id, title, author, status FROM books WHERE id IN (SELECT o_custkey * 3 FROM orders)"""))
 def get_books(spark, sf):
-    ids = table(spark, sf, "orders").select((F.col("o_custkey") * 3).cast("int").alias("id"))
+    ids = table(spark, sf, "orders").select((F.col("o_custkey") * 3).alias("id"))
     return C.get_books(view(spark, sf, "books"), ids).select("id", "title", "author", "status")
 
 
@@ -94,7 +94,7 @@ _WINNER = """CASE
     WHEN method = 'DELETE' AND regexp_full_match(path, '/.+') THEN 5 END"""
 
 
-@query("j2_match_routes", _V(["requests"], f"SELECT request_id, CAST({_WINNER} AS INT) AS rule_id FROM requests"))
+@query("j2_match_routes", _V(["requests"], f"SELECT request_id, CAST({_WINNER} AS BIGINT) AS rule_id FROM requests"))
 def match_routes(spark, sf):
     out = RT.match_routes(view(spark, sf, "requests"), view(spark, sf, "configs"))
     return out.select("request_id", F.col("rule.id").alias("rule_id"))
@@ -126,7 +126,7 @@ _CHANGED = dict(
 
 
 @query("j9_apply_changes", _V(["books", "changes"], """
-  SELECT CAST(e.id AS INT) AS id, coalesce(h.title, e.title) AS title, coalesce(h.author, e.author) AS author, e.status
+  SELECT CAST(e.id AS BIGINT) AS id, coalesce(h.title, e.title) AS title, coalesce(h.author, e.author) AS author, e.status
   FROM ent e LEFT JOIN hit h ON h.id = e.id AND h.rn = 1 WHERE e.id NOT IN (SELECT id FROM del_)""", **_CHANGED))
 def apply_changes(spark, sf):
     return C.apply_changes(view(spark, sf, "books"), view(spark, sf, "changes"))[0]
@@ -144,7 +144,7 @@ def change_report(spark, sf):
 
 @query("j10_bulk_insert", _V(["books"], """
   SELECT id, title, author, status FROM books UNION ALL
-  SELECT CAST((SELECT max(id) FROM books) + row_number() OVER (ORDER BY o_orderkey) AS INT), 'T' || CAST(o_orderkey AS VARCHAR),
+  SELECT CAST((SELECT max(id) FROM books) + row_number() OVER (ORDER BY o_orderkey) AS BIGINT), 'T' || CAST(o_orderkey AS VARCHAR),
     o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN 'lost' ELSE 'available' END FROM orders"""))
 def bulk_insert(spark, sf):
     rows = table(spark, sf, "orders").select(

@@ -159,7 +159,7 @@ def consumer_lag(spark, sf):
   SELECT 'key-' || CAST(event_id AS VARCHAR) AS key, '{"book_id":' || CAST(event_id AS VARCHAR) || '}' AS value,
     'traceparent' AS header_key, '00-' || trace_id || '-' || span_id || '-01' AS header_value, 'book_ingestion' AS topic FROM spans"""))
 def to_ingestion_records(spark, sf):
-    out = MS.to_ingestion_records(_spans(spark, sf).withColumn("book_id", F.col("event_id").cast("int")))
+    out = MS.to_ingestion_records(_spans(spark, sf).withColumn("book_id", F.col("event_id")))
     return out.select("key", "value", F.col("headers")[0]["key"].alias("header_key"),
                       F.col("headers")[0]["value"].cast("string").alias("header_value"), "topic")
 
@@ -172,7 +172,7 @@ def read_table(spark, sf):
 
 
 def _documents(spark, sf):
-    """Trace documents of the spans: one per trace, one batch per service."""
+    """Trace documents of the spans: one per trace, which has eight spans, one batch per service."""
     text = lambda c: F.struct(F.col(c).cast("string").alias("stringValue"), F.lit(None).cast("string").alias("intValue"))
     start = F.unix_micros("start_ts") * 1000
     whole = F.struct(F.lit(None).cast("string").alias("stringValue"), F.col("event_id").cast("string").alias("intValue"))
@@ -203,10 +203,10 @@ def read_trace_json(spark, sf):
 
 
 @query("p1_flatten_spans", _V(["spans"], """
-  SELECT service_name, kind, count(*) AS spans, CAST(sum(duration_ns) AS BIGINT) AS total_ns FROM spans GROUP BY ALL"""))
+  SELECT service_name, kind, count(*) AS spans, CAST(sum(duration_ns) AS DOUBLE) AS total_ns FROM spans GROUP BY ALL"""))
 def flatten_spans(spark, sf):
     flat = D.flatten_spans(_conform(_documents(spark, sf)))
-    return flat.groupBy("service_name", "kind").agg(F.count(F.lit(1)).alias("spans"), F.sum("duration_ns").alias("total_ns"))
+    return flat.groupBy("service_name", "kind").agg(F.count(F.lit(1)).alias("spans"), F.sum(F.col("duration_ns").cast("double")).alias("total_ns"))
 
 
 def _conform(docs):
@@ -238,8 +238,9 @@ def kv_to_map(spark, sf):
 def read_log_json(spark, sf):
     path = fresh_dir(spark, "logs")
     entry = F.array((F.unix_micros("ts") * 1000).cast("string"), F.col("body"))
-    streams = view(spark, sf, "logs").groupBy("service_name", F.date_trunc("hour", "ts").alias("h")).agg(
-        F.collect_list(entry).alias("values"))
+    # A stream of a document holds the lines of at most 64 neighbouring events.
+    part = F.floor(F.col("event_id") / 64).alias("part")
+    streams = view(spark, sf, "logs").groupBy("service_name", part).agg(F.collect_list(entry).alias("values"))
     stream = F.struct(F.create_map(F.lit("service_name"), F.col("service_name")).alias("stream"), "values")
     streams.select(F.struct(F.array(stream).alias("result")).alias("data")).write.json(path)
     return D.read_log_json(spark, path, multi_line=False).select(

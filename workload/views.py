@@ -98,7 +98,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "duration_ns": "CAST(round(value * 1000000) AS BIGINT)",
     }),
     "books": ("part", {
-        "id": "CAST(p_partkey AS INT)",
+        "id": "p_partkey",
         "title": "p_name",
         "author": "p_brand",
         "status": "CASE p_partkey % 3 WHEN 0 THEN 'available' WHEN 1 THEN 'borrowed' ELSE 'lost' END",
@@ -111,7 +111,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "author": "'Author ' || CAST(o_custkey AS STRING)",
     }),
     "rules": ("orders", {
-        "id": "CAST(o_orderkey AS INT)",
+        "id": "o_orderkey",
         "endpoint_pattern": (
             "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE '/books/' || CAST(o_orderkey % 5003 AS STRING) END"
         ),
@@ -147,7 +147,7 @@ CONFIG_ROWS = """
   (4, '/books', 'GET', 0.0, 404, 'never'),
   (5, '/{*rest}', 'DELETE', 0.025, 599, NULL)"""
 CONFIGS = (
-    "SELECT CAST(id AS INT) AS id, endpoint_pattern, http_method, CAST(error_rate AS DOUBLE) AS error_rate, "
+    "SELECT CAST(id AS BIGINT) AS id, endpoint_pattern, http_method, CAST(error_rate AS DOUBLE) AS error_rate, "
     f"CAST(error_code AS INT) AS error_code, error_message FROM (VALUES {CONFIG_ROWS}) "
     "AS t(id, endpoint_pattern, http_method, error_rate, error_code, error_message)"
 )

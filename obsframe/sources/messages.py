@@ -37,7 +37,11 @@ def _as_records(df: DataFrame) -> DataFrame:
 
 
 def read_ingestion_stream(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame:
-    """Stream of ingestion records: a queue topic, or files of the same schema."""
+    """Stream of ingestion records: a queue topic, or files of the same schema.
+
+    For a queue pass ``kafka.bootstrap.servers`` and, where wanted, ``kafka.group.id``;
+    it reads the ingestion topic from its earliest offset unless options say otherwise.
+    """
     if fmt == "kafka":
         return _as_records(
             spark.readStream.format("kafka").options(**_queue_options(options)).load()

@@ -44,3 +44,9 @@ def word_count(text: Column) -> Column:
 def deleted_count(text: Column, characters: str) -> Column:
     """BIGINT number of the given characters in a non-NULL text."""
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
+
+
+def in_batches(df: DataFrame, rows: int = 2048) -> DataFrame:
+    """Bound the rows that one Arrow batch hands to Python, as texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm import licenses, mixing, quality, warc
+from obsframe.llm import (
+    languages, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, warc)
 from obsframe.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +62,25 @@ FROM documents d LEFT JOIN found f ON d.doc_id IS NOT DISTINCT FROM f.doc_id
 """
 
 
+# ---- 2 near-duplicates ----------------------------------------------------------------
+
+
+@_registered
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 3-word shingles at 85 percent."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ---- 3 substrings ---------------------------------------------------------------------
+
+
+@_registered
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document without windows of 35 words that occur again."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 # ---- 4 mixing -------------------------------------------------------------------------
 
 
@@ -244,3 +264,45 @@ SELECT page_id, record_type, record_id, refers_to, target_uri, content_type,
        source_headers, block
 FROM records
 """
+
+
+# ---- 7 nearest neighbours -------------------------------------------------------------
+
+
+@_registered
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows by cosine of every row whose id is divisible by 50."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# ---- 8 secrets ------------------------------------------------------------------------
+
+
+@_registered
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    scanned = secrets.found(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secrets.KINDS[k]}")
+        for k in range(3)]
+    return scanned.select(
+        "doc_id", *counts, F.sha2(secrets.joined("base"), 256).alias("base_sha256"),
+        secrets.joined("spans").alias("spans"))
+
+
+# ---- 9 packing ------------------------------------------------------------------------
+
+
+@_registered
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+# ---- 10 languages ---------------------------------------------------------------------
+
+
+@_registered
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return languages.identified(table(spark, sf_dir, "documents"))

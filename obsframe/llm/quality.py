@@ -66,8 +66,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
         F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     ))
-    return ordered.select(
-        *kept,
+    # generated columns: a filter on a verdict must not be rewritten into one on these expressions
+    measures = F.struct(
         F.size("_words").cast("bigint").alias("n_words"),
         F.length(F.translate(body, SPACES, "")).cast("bigint").alias("word_chars"),
         deleted_count(body, SYMBOLS).alias("n_symbols"),
@@ -79,6 +79,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         deleted_count(body, CAPITALS.lower()).alias("n_lower"),
         deleted_count(body, "!").alias("n_exclamations"),
     )
+    return ordered.select(*kept, F.inline(F.array(measures)))
 
 
 def _repeated_words(ordered: Column) -> Column:

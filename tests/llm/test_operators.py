@@ -1,0 +1,275 @@
+"""The operators against brute force, on a small table with all the odd rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from obsframe.llm import languages, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings
+from obsframe.llm import queries as registered
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, n bigint, kind string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def prose(seed, n, words=400):
+    pick = np.random.default_rng(seed).integers(0, words, n)
+    return " ".join(f"w{x}" for x in pick)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    base = prose(1, 300)
+    near = base.split()
+    near[150] = "changed"
+    passage = prose(2, 60)
+    texts = [
+        base, base, " ".join(near), None, "", "  \t ", "one two", "ONE two", prose(3, 80) + " " + passage,
+        passage + "\n" + prose(4, 90), passage + " " + passage, prose(5, 20_000), "a b é 　 c",
+        'x token = "0123456789abcdef0123456789abcdef" y', "AKIA" + "A1" * 8, "Secret: short", "token: password: abcdefghijklmnop",
+        "see Zk8Qw1Lm5Xt7Rb2Vn9Yc4Hd6Pf3Js0GaTeUiOqWx and go",
+    ]
+    out = [(i, t, "en", f"s{i % 4}" if i % 7 else None, len(t or ""), 5, "k") for i, t in enumerate(texts)]
+    return out + [out[0], (None, prose(6, 70), None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def shingles(text, k):
+    found = [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(text)]
+    return {tuple(found[i:i + k]) for i in range(max(len(found) - k + 1, 1))} if found else set()
+
+
+def brute_components(pairs, k, percent):
+    sets = {}
+    for i, text in pairs:
+        sets.setdefault(i, shingles(text, k))
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            common = len(sets[a] & sets[b])
+            if a < b and common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    return root, {i: len(s) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
+def test_near_duplicates(docs, rows, k, percent):
+    root, size = brute_components([(r[0], r[1]) for r in rows if r[0] is not None], k, percent)
+    got = neardup.near_duplicates(docs, shingle=k, percent=percent).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (size[r.doc_id], root[r.doc_id], root[r.doc_id] == r.doc_id)
+
+
+def test_near_duplicates_of_the_documents(spark, sf_dir):
+    got = {r.doc_id: r.component_id for r in registered.QUERIES["op2_near_duplicates"](spark, sf_dir).collect()}
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert got == brute_components([tuple(r) for r in table], 3, 85)[0]
+
+
+def test_no_documents(none):
+    assert neardup.near_duplicates(none).count() == 0
+    assert substrings.without_repeats(none).count() == 0
+    assert packing.pack(none).count() == 0
+    assert secrets.found(none).count() == 0
+    assert languages.identified(none).count() == 0
+    assert quality.ledger(none).count() == 0
+    assert mixing.mixed_documents(none).count() == 0
+
+
+def test_sketches_merge_and_estimate():
+    a, b = np.arange(1, 3001, dtype=np.uint64) * neardup.GOLDEN, np.arange(301, 3301, dtype=np.uint64) * neardup.GOLDEN
+    both = neardup.sketch([a, b, np.union1d(a, b)])
+    assert (neardup.merge(both[0], both[1]) == both[2]).all()
+    found = neardup.estimate(both[:1], both[1:2], np.array([3000.0]), np.array([3000.0]))[0]
+    assert abs(found - 2700 / 3300) < 0.15
+
+
+def test_substrings(docs, rows):
+    texts = [words(r[1]) for r in rows]
+    seen = Counter(tuple(t[i:i + 35]) for t in texts for i in range(len(t) - 34))
+    want = []
+    for r, t in zip(rows, texts):
+        gone = {j for i in range(len(t) - 34) if seen[tuple(t[i:i + 35])] > 1 for j in range(i, i + 35)}
+        want.append((r[0], len(t), len(gone), " ".join(w for j, w in enumerate(t) if j not in gone)))
+    got = substrings.without_repeats(docs, chunk_bytes=20_000).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 24)).astype(np.float32)
+    x[50:60] = x[3]
+    odd = [(1000, None), (1050, [0.0] * 24), (1100, [float("nan")] * 24), (1150, [None] * 24), (1200, []),
+           (None, [1.0] * 24), (1250, [float("inf")] + [1.0] * 23), (1300, [1.0, 2.0]), (1350, [2.0, 4.0])]
+    table = spark.createDataFrame(
+        [(i, [float(v) for v in r], 1.0) for i, r in enumerate(x)] + [(*o, 2.0) for o in odd],
+        "vec_id bigint, embedding array<float>, score double")
+    got = defaultdict(list)
+    for r in neighbours.nearest(table, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    y = x.astype(np.float64)
+    unit = y / np.linalg.norm(y, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 400, 50):
+        near = unit @ unit[q]
+        near[q] = -2
+        want = np.lexsort((np.arange(400), -np.round(near, 12)))[:5]
+        hits += len(set(want) & {i for i, _ in got[q]})
+        assert [s for _, s in got[q]] == pytest.approx([near[i] for i, _ in got[q]], abs=1e-12)
+    assert hits >= 0.9 * 40
+    assert [i for i, _ in got[50]] == [3, 51, 52, 53, 54]  # ties by id
+    assert got[1300] == [(1350, pytest.approx(1.0))] and got[1350] == [(1300, pytest.approx(1.0))]
+    assert set(got) == {*range(0, 400, 50), 1300, 1350}
+    assert neighbours.nearest(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_recall_on_the_embeddings(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in table])
+    x = np.array([r.embedding for r in table], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = defaultdict(set)
+    for r in registered.QUERIES["op7_nearest"](spark, sf_dir).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = total = 0
+    for n in np.flatnonzero(ids % 50 == 0):
+        near = x @ x[n]
+        near[n] = -2
+        want = {int(i) for i in ids[np.lexsort((ids, -near))[:5]]}
+        hits, total = hits + len(want & got[int(ids[n])]), total + len(want)
+    assert hits >= 0.9 * total
+
+
+def test_secrets(docs, rows):
+    by_id = {r.doc_id: r for r in secrets.found(docs).select("doc_id", secrets.joined("base").alias("base"),
+                                                               secrets.joined("spans").alias("spans")).collect()}
+    assert len(by_id) == len({r[0] for r in rows})
+    assert by_id[13].base == "assign:2:43,hex:11:43"
+    assert by_id[14].base == "access:0:20"
+    assert by_id[15].base == "" and by_id[16].base == "" and by_id[3].spans == "" and by_id[4].spans == ""
+    assert by_id[17].base == "" and by_id[17].spans == "random:4:44"
+    assert all(not by_id[i].spans for i in (0, 2, 8, 11, 12))
+
+
+def test_masking_leaves_clean_documents(docs, rows):
+    got = {r.doc_id: r for r in secrets.masked(docs).collect()}
+    assert got[13].text == f'x {secrets.MARK} y'.replace(" y", '" y') and got[13].n_chars == len(got[13].text)
+    assert got[17].text == f"see {secrets.MARK} and go"
+    for r in rows:
+        if r[0] not in (13, 14, 17):
+            assert (got[r[0]].text, got[r[0]].n_chars, got[r[0]].kind) == (r[1], r[4], r[6])
+
+
+def test_battery():
+    assert not secrets.looks_random("0123456789abcdefghijklmnopqrstuvwxyzABCD", secrets.ENCODINGS[3][1])
+    assert not secrets.looks_random("a1" * 20, secrets.ENCODINGS[3][1])
+    assert secrets.encoding_of("abcdefghijklmnopqrstu") is None
+    assert secrets.encoding_of("DEADBEEF0123456789AB")[0] == "hex"
+
+
+def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    want = Counter((r[0], tuple([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1])) for r in rows)
+    pieces = packing.pack(docs).collect()
+    by_doc = defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+    for (doc_id, ids), copies in want.items():
+        held = sorted(by_doc[doc_id], key=lambda p: p.start)
+        assert sum(p.length for p in held) == copies * len(ids) and {p.doc_tokens for p in held} == {len(ids)}
+        for p in held:
+            cut = np.array(ids[p.start:p.start + p.length], "<u4").tobytes()
+            assert p.ids_crc32 == zlib.crc32(cut)
+    filled = defaultdict(list)
+    for p in pieces:
+        filled[p.sequence_id].append((p.offset, p.length))
+    for number, held in filled.items():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at == 2048 or number == max(filled)
+
+
+def test_languages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = languages.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert held and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_languages_of_odd_texts(docs):
+    got = {r.doc_id: r for r in languages.identified(docs).collect()}
+    assert {got[i].lang_pred for i in (3, 4, 5)} == {"und"} and got[11].lang_pred == "en"
+
+
+@pytest.mark.parametrize("name", sorted(registered.ORACLES))
+def test_sql(spark, sf_dir, name):
+    with duckdb.connect() as db:
+        for t in ("documents", "pages"):
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        found = db.execute(registered.ORACLES[name])
+        columns = [c[0] for c in found.description]
+        want = [tuple(dict(zip(columns, r))[c] for c in sorted(columns)) for r in found.fetchall()]
+    got = registered.QUERIES[name](spark, sf_dir)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*sorted(columns)).collect()), key=str) == sorted(want, key=str)
+
+
+def test_odd_rows_of_the_native_operators(docs, rows, spark):
+    assert licenses.scan(docs, licenses.known_digests(spark)).count() >= len(rows) - 1
+    measured = {r.doc_id: r for r in quality.ledger(docs).collect()}
+    assert measured[3].n_words == 0 and measured[11].n_words == 20_000 and measured[11].kind == "k"
+    takes = mixing.taken(mixing.mix(mixing.sized(docs))).collect()
+    assert len(takes) >= len({r[0] for r in rows}) and all(0 <= r.taken <= 3 * r.size for r in takes)
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        held = registered.written(stage(spark, kept, sf_dir), "test-stage")
+        assert held.columns == columns
+        if name == "quality rules":
+            passing = quality.ledger(kept).where(quality.verdict("full-1")).count()
+            assert held.count() == passing > 0
+        if name == "near dedup":
+            root, _ = brute_components([(r.doc_id, r.text) for r in kept.collect()], 5, 80)
+            assert sorted(r.doc_id for r in held.collect()) == sorted({*root.values()})
+        if name == "secret scan":
+            assert held.count() == kept.count()
+            assert not held.where(F.col("text").rlike("AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}")).count()
+        kept = held
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
+    assert pieces.select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
+    again = corpus_pipeline.run(spark, sf_dir)
+    assert again.groupBy("doc_id").agg(F.sum("length")).orderBy("doc_id").collect() == pieces.groupBy("doc_id").agg(
+        F.sum("length")).orderBy("doc_id").collect()

@@ -98,11 +98,11 @@ def get_books(books: DataFrame, ids: DataFrame | Sequence[int]) -> DataFrame:
     return books.filter(F.col("id").isin(list(ids)))
 
 
-def configs_for(configs: DataFrame, method: str | None = None) -> DataFrame:
-    """Rules in id order: up to 100 of one method, or up to 1,000 of all."""
-    if method is None:
-        return configs.orderBy("id").limit(fixed.RULES_TOTAL)
-    return configs.filter(F.col("http_method") == method).orderBy("id").limit(fixed.RULES_PER_METHOD)
+def configs_for(configs: DataFrame, method: str | None = None, limit: int | None = None) -> DataFrame:
+    """Rules in id order, of one method or of all; the first ``limit`` if given."""
+    chosen = configs if method is None else configs.filter(F.col("http_method") == method)
+    ordered = chosen.orderBy("id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def enrich_books(books: DataFrame, details: DataFrame) -> DataFrame:

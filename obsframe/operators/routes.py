@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsframe import fixed
 from obsframe.functions.scalars import as_col, http_reason, uniform_draw
 
 _STATIC, _PARAM, _REST = "0", "1", "2"
@@ -109,15 +108,16 @@ def _rule(config) -> Column:
     return F.struct(*[F.lit(config[f]).alias(f) for f in _RULE_FIELDS]).cast(_RULE_TYPE)
 
 
-def winning_rule(method, path, configs: DataFrame) -> Column:
-    """Struct of the one rule that applies to a request, or NULL."""
-    oldest = W.partitionBy("http_method").orderBy("id")
-    rows = (
-        configs.withColumn("_n", F.row_number().over(oldest))
-        .filter(F.col("_n") <= fixed.RULES_PER_METHOD)
-        .orderBy("http_method", "id")
-        .collect()
-    )
+def winning_rule(method, path, configs: DataFrame, per_method: int | None = None) -> Column:
+    """Struct of the one rule that applies to a request, or NULL.
+
+    Rules are configuration: they are read once and compiled. ``per_method`` keeps the oldest
+    so many of each method; by default all count.
+    """
+    if per_method is not None:
+        oldest = W.partitionBy("http_method").orderBy("id")
+        configs = configs.withColumn("_n", F.row_number().over(oldest)).filter(F.col("_n") <= per_method)
+    rows = configs.orderBy("http_method", "id").collect()
     branches = []
     for name, group in groupby(rows, key=lambda r: r["http_method"]):
         rules = list(group)
@@ -129,13 +129,16 @@ def winning_rule(method, path, configs: DataFrame) -> Column:
     return (F.lit(None) if out is None else out).cast(_RULE_TYPE)
 
 
-def match_routes(requests: DataFrame, configs: DataFrame, out: str = "rule") -> DataFrame:
+def match_routes(
+    requests: DataFrame, configs: DataFrame, out: str = "rule", per_method: int | None = None
+) -> DataFrame:
     """Add the winning rule of each request; at most one, NULL if none."""
-    return requests.withColumn(out, winning_rule("method", "path", configs))
+    return requests.withColumn(out, winning_rule("method", "path", configs, per_method))
 
 
 def inject_errors(
-    requests: DataFrame, configs: DataFrame, seed: int = 42, key: str = "request_id"
+    requests: DataFrame, configs: DataFrame, seed: int = 42, key: str = "request_id",
+    per_method: int | None = None,
 ) -> DataFrame:
     """Decide per request whether its rule's error replaces the response.
 
@@ -145,7 +148,7 @@ def inject_errors(
     hit = F.coalesce(draw < F.col("rule.error_rate"), F.lit(False))
     body = F.coalesce(F.col("rule.error_message"), http_reason(F.col("rule.error_code")))
     return (
-        match_routes(requests, configs)
+        match_routes(requests, configs, per_method=per_method)
         .withColumn("injected", hit)
         .withColumn("status", F.when(F.col("injected"), F.col("rule.error_code")))
         .withColumn("body", F.when(F.col("injected"), body))

@@ -48,12 +48,14 @@ def test_methods_do_not_mix_and_no_rules(spark):
     assert RT.match_routes(requests, rules.limit(0)).filter("rule is not null").count() == 0
 
 
-def test_only_the_first_hundred_rules_of_a_method_count(spark):
+def test_all_rules_count_unless_a_limit_is_given(spark):
     rules = configs(spark, *[(i, f"/p{i}", "GET", 1.0, 500, None) for i in range(1, 151)],
                     *[(1000 + i, f"/q{i}", "PUT", 1.0, 500, None) for i in range(3)])
     requests = spark.createDataFrame(
         [("GET", "/p100"), ("GET", "/p101"), ("PUT", "/q2")], "method string, path string")
-    assert [r.rule and r.rule.id for r in RT.match_routes(requests, rules).collect()] == [100, None, 1002]
+    assert [r.rule and r.rule.id for r in RT.match_routes(requests, rules).collect()] == [100, 101, 1002]
+    limited = RT.match_routes(requests, rules, per_method=100)
+    assert [r.rule and r.rule.id for r in limited.collect()] == [100, None, 1002]
 
 
 def test_injection(spark):

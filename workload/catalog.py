@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from obsframe import fixed
 from obsframe.operators import catalog as C
 from obsframe.operators import routes as RT
 from workload.registry import query
@@ -74,16 +75,16 @@ _RULE_COLS = "id, endpoint_pattern, http_method, error_rate, error_code, error_m
   SELECT 'all' AS asked, * FROM (SELECT {_RULE_COLS} FROM rules ORDER BY id LIMIT 1000)"""))
 def configs_for(spark, sf):
     rules = view(spark, sf, "rules")
-    one = C.configs_for(rules, "GET").withColumn("asked", F.lit("GET"))
-    return one.unionByName(C.configs_for(rules).withColumn("asked", F.lit("all")))
+    one = C.configs_for(rules, "GET", fixed.RULES_PER_METHOD).withColumn("asked", F.lit("GET"))
+    return one.unionByName(C.configs_for(rules, limit=fixed.RULES_TOTAL).withColumn("asked", F.lit("all")))
 
 
 @query("j1_enrich_books", _V(["books"], """
   SELECT b.id, b.title, d.author AS detail_author, d.id IS NOT NULL AS enriched
-  FROM books b LEFT JOIN (SELECT * FROM books WHERE id % 2 = 0) d ON b.id = d.id"""))
+  FROM books b LEFT JOIN (SELECT id * 2 AS id, author FROM books) d ON b.id = d.id"""))
 def enrich_books(spark, sf):
     books = view(spark, sf, "books")
-    details = books.filter("id % 2 = 0").select("id", "author")
+    details = books.select((F.col("id") * 2).alias("id"), "author")
     return C.enrich_books(books, details).select("id", "title", "detail_author", "enriched")
 
 
@@ -96,7 +97,7 @@ _WINNER = """CASE
 
 @query("j2_match_routes", _V(["requests"], f"SELECT request_id, CAST({_WINNER} AS BIGINT) AS rule_id FROM requests"))
 def match_routes(spark, sf):
-    out = RT.match_routes(view(spark, sf, "requests"), view(spark, sf, "configs"))
+    out = RT.match_routes(view(spark, sf, "requests"), view(spark, sf, "configs"), per_method=fixed.RULES_PER_METHOD)
     return out.select("request_id", F.col("rule.id").alias("rule_id"))
 
 
@@ -110,7 +111,8 @@ def match_routes(spark, sf):
       CAST('0x' || substr(md5('42:' || CAST(request_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS draw
       FROM requests"""))
 def inject_errors(spark, sf):
-    out = RT.inject_errors(view(spark, sf, "requests"), view(spark, sf, "configs"), seed=42)
+    out = RT.inject_errors(view(spark, sf, "requests"), view(spark, sf, "configs"), seed=42,
+                           per_method=fixed.RULES_PER_METHOD)
     return out.select("request_id", "injected", "status", "body")
 
 

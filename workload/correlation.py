@@ -67,10 +67,9 @@ def correlate_errors_parent(spark, sf):
 
 @query("j7_logs_for_traces", _V(["logs", "spans"], """
   SELECT l.event_id, l.trace_id, s.name AS span_name, s.service_name AS span_service
-  FROM logs l LEFT JOIN spans s ON s.trace_id = l.trace_id AND s.span_id = l.span_id AND s.event_id % 3 <> 0"""))
+  FROM logs l LEFT JOIN spans s ON s.trace_id = l.trace_id AND s.span_id = l.span_id"""))
 def logs_for_traces(spark, sf):
-    known = _spans(spark, sf).filter("event_id % 3 <> 0")
-    return C.logs_for_traces(view(spark, sf, "logs"), known).select("event_id", "trace_id", "span_name", "span_service")
+    return C.logs_for_traces(view(spark, sf, "logs"), _spans(spark, sf)).select("event_id", "trace_id", "span_name", "span_service")
 
 
 @query("j8_telemetry_coverage", _V(["spans", "logs", "points"], """
@@ -146,10 +145,10 @@ def topic_metrics(spark, sf):
     FROM (SELECT DISTINCT "group" FROM c) g CROSS JOIN h LEFT JOIN c ON c."group" = g."group" AND c.partition = h.partition)""",
     h="SELECT topic, part AS partition, max(off) + 1 AS current_offset, min(off) AS oldest FROM messages GROUP BY ALL",
     c="""SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS "group", part AS partition, max(off) AS consumer_offset
-      FROM messages WHERE event_id % 5 = 0 AND NOT (event_id % 2 = 1 AND part = 0) GROUP BY ALL"""))
+      FROM messages WHERE NOT (event_id % 2 = 1 AND part = 0) GROUP BY ALL"""))
 def consumer_lag(spark, sf):
     flat = view(spark, sf, "messages")
-    commits = flat.filter("event_id % 5 = 0 AND NOT (event_id % 2 = 1 AND part = 0)").select(
+    commits = flat.filter("NOT (event_id % 2 = 1 AND part = 0)").select(
         F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("group"), "topic",
         F.col("part").alias("partition"), F.col("off").alias("offset"))
     return I.consumer_lag(as_records(flat), commits)

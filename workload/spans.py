@@ -123,12 +123,12 @@ def exception_count(spark, sf):
 
 @query("a8_event_counter", """
   SELECT 'my_book_counter' AS metric, CAST(user_id AS VARCHAR) AS book_id, CAST(count(*) AS DOUBLE) AS value
-  FROM events WHERE event_type = 'click' GROUP BY user_id
-  UNION ALL SELECT 'queried_books', NULL, CAST(count(*) AS DOUBLE) FROM events WHERE event_type = 'click'""")
+  FROM events GROUP BY user_id
+  UNION ALL SELECT 'queried_books', NULL, CAST(count(*) AS DOUBLE) FROM events""")
 def event_counter(spark, sf):
     from workload.views import table
 
-    got = table(spark, sf, "events").filter("event_type = 'click'").select(F.col("user_id").cast("string").alias("book_id"))
+    got = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_id"))
     return M.event_counter(got, "my_book_counter", ["book_id"]).unionByName(
         M.event_counter(got, "queried_books"), allowMissingColumns=True)
 

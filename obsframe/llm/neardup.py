@@ -10,7 +10,7 @@
 3. Bands of ``ROWS`` registers are bucket keys. Two sets at the threshold of 0.85 miss each
    other in all 25 bands of 5 with a chance of 4e-7.
 4. In a bucket, leaders are compared with the members of other components: one leader in the
-   first round, 8 in the next, then 64, 512. Compared leaders retire, pairs within one
+   first round, 8 in the next (all, in small buckets), then 64, 512. Compared leaders retire, pairs within one
    component are never made, and a bucket ends when all its members are of one component
    or all but one component's have been leaders. So every pair of a bucket is linked, in
    one component already, or was compared; without making all pairs of a group of copies.
@@ -26,6 +26,7 @@ that repeat a doc_id stand for the same node. Other columns do not matter.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,6 +46,8 @@ BASE = 1.001
 CEILING = 2.0 ** 14
 MARGIN = 0.2
 LEADERS = (1, 8, 64, 512)
+#: A bucket that needs no more pairs than this is finished in one round.
+AT_ONCE = 4096
 #: Documents that are sketched together inside a task, and the shingles they may have.
 GROUP_DOCS, GROUP_SHINGLES = 2048, 1 << 21
 
@@ -213,19 +216,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         _raw(docs).join(involved, "doc_id").mapInPandas(
             _profile(shingle, True), "doc_id bigint, n bigint, registers binary, hashes array<bigint>"
         ).withColumnRenamed("doc_id", "cid"), "neardup-sets")
-    links, parts, turn = None, None, 0
+    leaders = live.groupBy("key").agg(F.min("cid").alias("cid")).withColumn("comp", F.col("cid"))
+    parts, turn = None, 0
     while True:
-        if turn == 0:
-            leaders = live.groupBy("key").agg(F.min("cid").alias("cid")).withColumn("comp", F.col("cid"))
-        else:
-            leaders = written(_next_leaders(live, LEADERS[min(turn, len(LEADERS) - 1)]), "neardup-leaders")
-            if leaders.isEmpty():
-                break
         found = written(_links(_pairs(live, leaders), nodes, percent), "neardup-links")
-        links = found if links is None else links.union(found)
-        parts = written(connected_components(links), "neardup-components")
+        if parts is None:
+            parts = written(connected_components(found), "neardup-components")
+        elif not found.isEmpty():
+            stars = parts.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            parts = written(connected_components(stars.union(found)), "neardup-components")
         live = written(_continued(live, leaders, parts), "neardup-buckets")
         turn += 1
+        leaders = written(_next_leaders(live, LEADERS[min(turn, len(LEADERS) - 1)]), "neardup-leaders")
+        if leaders.isEmpty():
+            break
     part_of = parts.select(F.col("node").alias("cid"), "root")
     result = profiles.select("doc_id", "n", "d1", "d2").join(
         classes, ["d1", "d2"], "left").join(part_of, "cid", "left")
@@ -237,16 +241,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
 
 
 def _next_leaders(live: DataFrame, count: int) -> DataFrame:
-    """Members outside their bucket's largest component that have not led yet, ``count`` a bucket.
+    """Members outside their bucket's largest component that have not led yet.
 
-    Spark keeps ``count`` rows of a key per task before the shuffle, so busy buckets are not
-    gathered.
+    ``count`` a bucket, or all of them where that makes at most ``AT_ONCE`` pairs. Spark keeps
+    so many rows of a key per task before the shuffle, so busy buckets are not gathered.
     """
     held = live.groupBy("key", "comp").agg(F.count("*").alias("held"))
-    largest = held.groupBy("key").agg(F.max_by("comp", F.struct("held", -F.col("comp"))).alias("largest"))
+    buckets = held.groupBy("key").agg(
+        F.max_by("comp", F.struct("held", -F.col("comp"))).alias("largest"),
+        ((F.sum("held") - F.max("held")) * F.sum("held")).alias("pairs"))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("cid"))
-    minor = live.where("NOT retired").join(largest, "key").where("comp <> largest")
-    return minor.withColumn("rank", rank).where(F.col("rank") <= count).select("key", "cid", "comp")
+    minor = live.where("NOT retired").join(buckets, "key").where("comp <> largest")
+    # the members outside the largest component are fewer than the root of the pairs
+    return minor.withColumn("rank", rank).where(F.col("rank") <= max(count, math.isqrt(AT_ONCE))).where(
+        (F.col("rank") <= count) | (F.col("pairs") <= AT_ONCE)).select("key", "cid", "comp")
 
 
 def _continued(live: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFrame:

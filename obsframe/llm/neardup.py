@@ -7,10 +7,13 @@
    keeps the smallest value seen, stored as an exponent of ``BASE``. Registers of a union are
    the element-wise larger exponents (``merge``), so sketches merge. A shingle stops when its
    walk is above all registers.
-3. Bands of ``ROWS`` registers are bucket keys. Two sets at the threshold of 0.85 miss each
-   other in all 25 bands of 5 with a chance of 4e-7.
+3. Bands of registers are bucket keys, as long as two sets at the threshold miss each other in
+   all bands with a chance of at most ``MISSED``: 36 bands of 7 for 0.85, 42 of 6 for 0.8.
 4. In a bucket, leaders are compared with the members of other components: one leader in the
-   first round, 8 in the next (all, in small buckets), then 64, 512. Compared leaders retire, pairs within one
+   first round, 8 in the next (all, in small buckets), then 64, 512. First come those that meet
+   most members in all their buckets: the original of many edited copies is nearer to each
+   than they are to each other. Members whose set sizes rule a link out are not compared.
+   Compared leaders retire, pairs within one
    component are never made, and a bucket ends when all its members are of one component
    or all but one component's have been leaders. So every pair of a bucket is linked, in
    one component already, or was compared; without making all pairs of a group of copies.
@@ -31,20 +34,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import in_batches, written
 from obsframe.llm.components import connected_components
 from obsframe.llm.hashing import GOLDEN, mixed, word_hashes
 
-REGISTERS = 128
-ROWS = 5
-BANDS = REGISTERS // ROWS
+REGISTERS = 256
+MISSED = 1e-5
 BASE = 1.001
 #: The walk value at which an exponent is 0; beyond any value that fills a register.
 CEILING = 2.0 ** 14
-MARGIN = 0.2
+MARGIN = 0.14
 LEADERS = (1, 8, 64, 512)
 #: A bucket that needs no more pairs than this is finished in one round.
 AT_ONCE = 4096
@@ -91,7 +93,13 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def band_keys(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
+def band_rows(threshold: float, registers: int = REGISTERS) -> int:
+    """The longest bands that miss a pair at the threshold with a chance of at most ``MISSED``."""
+    return max((rows for rows in range(1, registers + 1)
+                if (1 - threshold ** rows) ** (registers // rows) <= MISSED), default=1)
+
+
+def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     """A signed 64-bit bucket key per band."""
     bands = sketches.shape[1] // rows
     cut = sketches[:, :bands * rows].astype(np.uint64).reshape(len(sketches), bands, rows)
@@ -140,20 +148,20 @@ def _grouped(texts: pd.Series, shingle: int) -> Iterator[tuple[slice, list[np.nd
             begin, sets, held = n + 1, [], 0
 
 
-def _profile(shingle: int, with_sets: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _profile(shingle: int, rows: int | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def profiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part, sets in _grouped(frame["raw"], shingle):
                 registers = sketch(sets)
                 out = pd.DataFrame({"doc_id": frame["doc_id"].iloc[part].array, "n": [len(s) for s in sets]})
-                if with_sets:
+                if rows is None:
                     out["registers"] = [r.tobytes() for r in registers]
                     out["hashes"] = [s.view(np.int64) for s in sets]
                 else:
                     whole = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                     out["d1"] = [int.from_bytes(d[:8], "little", signed=True) for d in whole]
                     out["d2"] = [int.from_bytes(d[8:], "little", signed=True) for d in whole]
-                    out["bands"] = list(band_keys(registers))
+                    out["bands"] = list(band_keys(registers, rows))
                 yield out
     return profiles
 
@@ -184,11 +192,13 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b").distinct()
 
 
-def _pairs(live: DataFrame, leaders: DataFrame) -> DataFrame:
+def _pairs(live: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
     """Leaders with the members of other components of their bucket, each pair once."""
-    met = live.select("key", "cid", "comp").join(
-        leaders.select("key", F.col("cid").alias("leader"), F.col("comp").alias("leader_comp")), "key"
-    ).where("comp <> leader_comp")
+    led = leaders.select(
+        "key", F.col("cid").alias("leader"), F.col("comp").alias("leader_comp"), F.col("n").alias("leader_n"))
+    met = live.select("key", "cid", "n", "comp").join(led, "key").where(
+        (F.col("comp") != F.col("leader_comp"))
+        & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")))
     return met.select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
 
 
@@ -200,26 +210,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     docs = in_batches(docs)
     profiles = written(
         _raw(docs).mapInPandas(
-            _profile(shingle, False), "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"),
+            _profile(shingle, band_rows(percent / 100)), "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"),
         "neardup-profiles")
     filled = profiles.where("n > 0 AND doc_id IS NOT NULL")
     classes = written(
         filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("cid")), "neardup-classes")
-    heads = filled.select("doc_id", "d1", "d2", "bands").join(
+    heads = filled.select("doc_id", "n", "d1", "d2", "bands").join(
         classes.select(F.col("cid").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi")
-    keyed = heads.select(F.col("doc_id").alias("cid"), F.explode("bands").alias("key"))
-    busy = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
-    live = written(keyed.join(busy, "key").select("key", "cid", F.col("cid").alias("comp"),
-                                                  F.lit(False).alias("retired")).distinct(), "neardup-buckets")
+    keyed = heads.select(F.col("doc_id").alias("cid"), "n", F.explode("bands").alias("key"))
+    busy = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    # at most one row a band and class, or two where two bands have the same key by chance
+    per_class = Window.partitionBy("cid")
+    live = written(keyed.join(busy, "key").select(
+        "key", "cid", "n", F.col("cid").alias("comp"), F.sum("held").over(per_class).alias("degree"),
+        F.lit(False).alias("retired")).distinct(), "neardup-buckets")
     involved = live.select(F.col("cid").alias("doc_id")).distinct()
     nodes = written(
         _raw(docs).join(involved, "doc_id").mapInPandas(
-            _profile(shingle, True), "doc_id bigint, n bigint, registers binary, hashes array<bigint>"
+            _profile(shingle), "doc_id bigint, n bigint, registers binary, hashes array<bigint>"
         ).withColumnRenamed("doc_id", "cid"), "neardup-sets")
-    leaders = live.groupBy("key").agg(F.min("cid").alias("cid")).withColumn("comp", F.col("cid"))
+    leaders = live.withColumn("rank", _rank()).where("rank = 1").select("key", "cid", "n", "comp")
     parts, turn = None, 0
     while True:
-        found = written(_links(_pairs(live, leaders), nodes, percent), "neardup-links")
+        found = written(_links(_pairs(live, leaders, percent), nodes, percent), "neardup-links")
         if parts is None:
             parts = written(connected_components(found), "neardup-components")
         elif not found.isEmpty():
@@ -240,6 +253,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     )
 
 
+def _rank() -> Column:
+    """Rank in the bucket: members that meet most others in all their buckets come first."""
+    return F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "cid"))
+
+
 def _next_leaders(live: DataFrame, count: int) -> DataFrame:
     """Members outside their bucket's largest component that have not led yet.
 
@@ -250,22 +268,21 @@ def _next_leaders(live: DataFrame, count: int) -> DataFrame:
     buckets = held.groupBy("key").agg(
         F.max_by("comp", F.struct("held", -F.col("comp"))).alias("largest"),
         ((F.sum("held") - F.max("held")) * F.sum("held")).alias("pairs"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("cid"))
     minor = live.where("NOT retired").join(buckets, "key").where("comp <> largest")
     # the members outside the largest component are fewer than the root of the pairs
-    return minor.withColumn("rank", rank).where(F.col("rank") <= max(count, math.isqrt(AT_ONCE))).where(
-        (F.col("rank") <= count) | (F.col("pairs") <= AT_ONCE)).select("key", "cid", "comp")
+    return minor.withColumn("rank", _rank()).where(F.col("rank") <= max(count, math.isqrt(AT_ONCE))).where(
+        (F.col("rank") <= count) | (F.col("pairs") <= AT_ONCE)).select("key", "cid", "n", "comp")
 
 
 def _continued(live: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFrame:
     """The buckets that still hold several components, with new components and retired leaders."""
     moved = live.drop("comp").join(parts.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
-        "key", "cid", F.coalesce("root", "cid").alias("comp"), "retired")
+        "key", "cid", "n", F.coalesce("root", "cid").alias("comp"), "degree", "retired")
     several = moved.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low <> high").select("key")
     led = leaders.select("key", "cid", F.lit(True).alias("led"))
     return moved.join(several, "key").join(led, ["key", "cid"], "left").select(
-        "key", "cid", "comp", (F.col("retired") | F.col("led").isNotNull()).alias("retired"))
+        "key", "cid", "n", "comp", "degree", (F.col("retired") | F.col("led").isNotNull()).alias("retired"))
 
 
 def deduplicated(docs: DataFrame, **settings) -> DataFrame:

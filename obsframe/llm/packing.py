@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,14 @@ from obsframe.llm.common import in_batches, written
 
 LENGTH = 2048
 END_ID = 1
-#: Pieces of text whose ids a task remembers, at most; then it forgets all and goes on.
-REMEMBERED = 400_000
+#: Pieces of text whose ids a worker remembers, at most; then it forgets all and goes on.
+REMEMBERED = 1_000_000
+#: New pieces that are encoded as one string.
+TOGETHER = 1000
+#: How the vocabulary writes the byte of a space.
+SPACE_MARK = "\u0120"
+#: Texts whose new pieces are learnt together.
+AT_A_TIME = 64
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -39,39 +46,71 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=1)  # a worker keeps it for its next tasks
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[str]], list[np.ndarray]]:
     """Texts to uint32 ids, the same as encoding each text whole without special tokens added.
 
     The pre-tokenizer of this byte-level vocabulary never joins across a single space between
-    two characters that are not spaces: the space begins the next piece. So a text without
-    leading, trailing or double spaces is the concatenation of its pieces ' word', and pieces
-    seen before need no encoding. Other texts, and those that hold a special token, are
-    encoded whole.
+    two characters that are not white space: the space begins the next piece. So a text whose
+    spaces all stand alone is the concatenation of its pieces ' word', and pieces seen before
+    need no encoding. New pieces are encoded together and cut before each id that begins with
+    a space. Other texts, and those that hold a special token, are encoded whole.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    vocabulary = tokenizer.get_vocab()
+    begins = np.zeros(max(vocabulary.values()) + 1, bool)
+    begins[[i for piece, i in vocabulary.items() if piece.startswith(SPACE_MARK)]] = True
     known: dict[str, bytes] = {}
 
     def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
+    def learn(new: list[str]) -> None:
+        groups = [new[i:i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+        for group, raw in zip(groups, whole(["".join([" " + w for w in g]) for g in groups])):
+            starts = 4 * np.flatnonzero(begins[np.frombuffer(raw, np.uint32)])
+            if len(starts) == len(group):
+                cuts = [*starts.tolist(), len(raw)]
+                known.update((w, raw[cuts[k]:cuts[k + 1]]) for k, w in enumerate(group))
+            else:
+                known.update(zip(group, whole([" " + w for w in group])))
+
+    def parts(text: str) -> tuple[list[str], list[str]] | None:
+        """The pieces of a text without, and with, a space before them; None: encode it whole."""
+        words = text.split(" ")
+        if "" in words or any(s in text for s in special):
+            return None
+        first, rest = words[0], words[1:]
+        # white space may stand at either end of a text, but not next to a space
+        inner = rest[:-1]
+        if rest and (first != first.rstrip() or rest[-1] != rest[-1].lstrip()):
+            return None
+        new = [w for w in dict.fromkeys(inner) if w not in known]
+        if any(w != w.strip() for w in new):
+            return None
+        return new, words
+
+    def encode_some(texts: list[str]) -> list[bytes]:
+        cut = [parts(t) if t else None for t in texts]
+        learn(list(dict.fromkeys(w for c in cut if c for w in c[0])))
+        alone = iter(whole([x for t, c in zip(texts, cut) for x in (
+            (t,) if c is None else (c[1][0], " " + c[1][-1] if len(c[1]) > 1 else ""))]))
+        out = []
+        for c in cut:
+            first = next(alone)
+            out.append(first if c is None else b"".join([first, *map(known.__getitem__, c[1][1:-1]), next(alone)]))
+        return out
+
     def encode(texts: list[str]) -> list[np.ndarray]:
         out = []
-        for text in texts:
-            words = text.split(" ")
-            if "" in words or any(s in text for s in special):
-                out.append(whole([text])[0] if text else b"")
-                continue
+        for i in range(0, len(texts), AT_A_TIME):
             if len(known) > remembered:
                 known.clear()
-            # the first piece has no space before it
-            new = [w for w in dict.fromkeys(words[1:]) if w not in known]
-            if new:
-                known.update(zip(new, whole([" " + w for w in new])))
-            out.append(whole(words[:1])[0] + b"".join(map(known.__getitem__, words[1:])))
+            out += encode_some(texts[i:i + AT_A_TIME])
         return [np.frombuffer(x, np.uint32) for x in out]
 
     return encode

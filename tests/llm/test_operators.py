@@ -1,5 +1,6 @@
 """The operators against brute force, on a small table with all the odd rows."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -273,3 +274,15 @@ def test_pipeline(spark, sf_dir):
     again = corpus_pipeline.run(spark, sf_dir)
     assert again.groupBy("doc_id").agg(F.sum("length")).orderBy("doc_id").collect() == pieces.groupBy("doc_id").agg(
         F.sum("length")).orderBy("doc_id").collect()
+
+
+def test_encoder_equals_encoding_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    whole = Tokenizer.from_file(path)
+    draw = random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "\xa0", "　", "\x85", "a", "it's", "1", "#", "Ġ", "日", "<|endoftext|>"]
+    texts = ["", " ", "a\n \nb", "\na b\n"] + ["".join(draw.choices(parts, k=draw.randrange(12))) for _ in range(3000)]
+    got = packing.encoder(path, 500)(texts)
+    assert [x.tolist() for x in got] == [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]

@@ -191,6 +191,27 @@ def test_battery():
     assert secrets.encoding_of("DEADBEEF0123456789AB")[0] == "hex"
 
 
+def test_random_keys_of_every_encoding_are_found(spark):
+    draw = random.Random(8)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = {
+        "hex": "0123456789ABCDEF", "base32": lower.upper() + "234567",
+        "base64": lower + lower.upper() + "0123456789+/", "base64url": lower + lower.upper() + "0123456789-_"}
+    kinds = [(name, n) for name in alphabets for n in (20, 24, 32, 48, 64)]
+    keys = [(*kind, "".join(draw.choices(alphabets[kind[0]], k=kind[1]))) for kind in kinds for _ in range(60)]
+    plain = [
+        "getElementsByTagName2WithNamespace", "INVOICEREFERENCENUMBER2024", "usr/local/lib/python3/site-packages",
+        "2024-01-15T10-30-00Z-backup", "MAXIMUMRETRYCOUNT23EXCEEDED", "customer_order_history_2023_final_v2",
+        "AAAAAAAAAA0000000000AAAA", "0123456789ABCDEF0123", "A0000000B0000000C0000012", "sha256WithRSAEncryptionOld"]
+    table = spark.createDataFrame(
+        [(i, f"see {k[2]} now") for i, k in enumerate(keys)] + [(10_000 + i, f"see {p} now") for i, p in enumerate(plain)],
+        "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in secrets.found(table).select("doc_id", secrets.joined("spans").alias("spans")).collect()}
+    hits = Counter(k[:2] for i, k in enumerate(keys) if spans[i] == f"random:4:{4 + k[1]}")
+    assert all(hits[kind] >= 0.9 * 60 for kind in kinds), hits
+    assert [plain[i - 10_000] for i, s in spans.items() if i >= 10_000 and s] == []
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 

@@ -5,13 +5,14 @@ cannot supply. ``schedule`` maps van der Corput points through the cumulative ta
 point k names the source of slot k, and the r-th slot of a source takes its r-th block.
 ``mix`` shuffles each source's documents by a hash, cuts that stream into blocks of equal
 token counts and joins them with the schedule, so any prefix of the slots is already near
-the target weights.
+the target weights. ``words_taken`` has the words of each document without the slots: how many
+slots a source has is found by arithmetic, so no slot is made.
 
 Scale. Offsets in a source come from prefix sums in two steps: over (source, bucket)
 totals, at most ``BUCKETS`` rows a source, and inside a bucket; a source that holds a third
-of all rows is spread over all buckets. The join is on (source, block). Windows that run
-over a whole source see only bucket totals or slots, both bounded by parameters. One row
-per source (configuration-sized) passes through windows without a key.
+of all rows is spread over all buckets. The join is on (source, block). Slots are ranked in
+the same two steps. Windows that run over a whole source see only bucket totals. One row per
+source (configuration-sized) passes through windows without a key.
 
 Defined cases: NULL text has size 0; size 0 takes nothing; a NULL source is a source of its
 own and the last in order; a total of 0 gives targets of 0.0; repeated rows are documents of
@@ -27,9 +28,11 @@ from obsframe.llm.common import word_count, words, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Slots of a schedule, at most. A block is the total divided by this, so the schedule's
-#: resolution is the same at any size and its discrepancy some twenty slots at most.
+#: A block is the total divided by this, or less where a source needs it: each source's target
+#: has ``LEAST_BLOCKS`` blocks at least, or blocks of one word. A source is some twenty blocks
+#: from its target at most, so a small source among large ones makes more slots.
 SLOTS = 1 << 20
+LEAST_BLOCKS = 1 << 10
 #: Buckets of the shuffled order inside a source: three hex digits of a digest.
 BUCKET_DIGITS = 3
 BUCKETS = 16 ** BUCKET_DIGITS
@@ -47,10 +50,29 @@ def sized(docs: DataFrame, size: Column | None = None) -> DataFrame:
     )
 
 
+def _slots_before(limit: Column, bound: Column, bits: Column) -> Column:
+    """How many of the slots 0 to limit - 1 have a grid point below ``bound``.
+
+    The slots are cut into runs that share their high bits, one for each bit set in ``limit``.
+    A run's points are equal modulo a power of two, the high bits reversed, so they are counted
+    by a division.
+    """
+    def run(j: Column) -> Column:
+        width = bits - j
+        high = F.call_function("shiftright", limit, j)
+        rest = F.coalesce(
+            F.conv(F.reverse(F.lpad(F.bin(high - 1), width, F.lit("0"))), 2, 10).cast("bigint"), F.lit(0))
+        step = F.call_function("shiftleft", F.lit(1).cast("bigint"), width)
+        points = F.call_function("shiftright", bound - rest + step - 1, width)
+        return F.when((high % 2 == 1) & (bound > rest), points).otherwise(0)
+
+    return F.aggregate(F.sequence(F.lit(0), bits), F.lit(0).cast("bigint"), lambda held, j: held + run(j))
+
+
 def source_targets(
     totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slots: int = SLOTS,
 ) -> DataFrame:
-    """Per source: target words, and its interval of the slot grid.
+    """Per source: target words, its interval of the slot grid, and how many slots fall to it.
 
     ``totals`` has source and source_size. Water filling in one pass: sources by rising
     capacity per weight are full as long as their capacity is no more than their share of
@@ -80,8 +102,9 @@ def source_targets(
         .otherwise(F.col("rest").cast("double") * F.col("weight") / F.col("rest_weight")),
     )
     upto = by_name.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = F.min(F.when(F.col("target") > 0, F.floor(F.col("target") / LEAST_BLOCKS))).over(everything)
     cut = shared.withColumns({
-        "block": F.greatest(F.ceil(F.col("total") / F.lit(slots)), F.lit(1)),
+        "block": F.greatest(F.least(F.ceil(F.col("total") / F.lit(slots)), least), F.lit(1)).cast("bigint"),
         "whole": F.floor("target"),
     }).withColumns({
         "n_slots": F.ceil(F.col("total") / F.col("block")),
@@ -94,10 +117,13 @@ def source_targets(
         F.when(F.col("last"), grid)
         .otherwise(F.ceil(F.col("cumulative").cast("double") / F.greatest("total", F.lit(1)) * grid)).cast("bigint"),
     )
-    return ends.select(
-        "source", "source_size", "target", "total", "block", "n_slots", "bits",
+    bounds = ends.select(
+        "source", "source_size", "target", "total", "block", F.col("n_slots").cast("bigint").alias("n_slots"), "bits",
         F.coalesce(F.lag("high").over(by_name), F.lit(0)).cast("bigint").alias("low"), "high",
     )
+    return bounds.withColumn("n_blocks", F.greatest(
+        _slots_before(F.col("n_slots"), F.col("high"), F.col("bits"))
+        - _slots_before(F.col("n_slots"), F.col("low"), F.col("bits")), F.lit(0)).cast("bigint"))
 
 
 def schedule(targets: DataFrame) -> DataFrame:
@@ -115,29 +141,21 @@ def schedule(targets: DataFrame) -> DataFrame:
         F.explode(F.sequence("first", F.least(F.col("first") + PIECE, F.col("high")) - 1)).alias("point"),
     )
     reverse = F.conv(F.reverse(F.lpad(F.bin("point"), F.col("bits"), F.lit("0"))), 2, 10).cast("bigint")
-    slots = points.select("source", "n_slots", reverse.alias("slot")).where("slot < n_slots")
-    per_source = Window.partitionBy("source").orderBy("slot")  # at most SLOTS rows in all
-    return slots.select("slot", "source", (F.row_number().over(per_source) - 1).cast("bigint").alias("rank"))
+    slots = points.select("source", "n_slots", reverse.alias("slot")).where("slot < n_slots").select(
+        "source", "slot", F.floor(F.col("slot") / F.ceil(F.col("n_slots") / BUCKETS)).alias("part"))
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = slots.groupBy("source", "part").agg(F.count("*").alias("held")).select(
+        F.col("source").alias("s"), F.col("part").alias("p"),
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("source", "part").orderBy("slot"))
+    return slots.withColumn("inside", inside).join(
+        bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")),
+    ).select("slot", "source", (F.col("base") + F.col("inside") - 1).cast("bigint").alias("rank"))
 
 
-def mix(
-    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slots: int = SLOTS,
-) -> DataFrame:
-    """The pieces of documents that the mix takes, in slot order.
-
-    ``sizes`` is ``sized(docs)``, best ``written``, as it is read twice. A row per piece:
-    doc_id, source, size, source_size, target, offset (the document's place in its source's
-    stream), epoch, start and length (words in the document), slot. Documents of which
-    nothing is taken stay, with one row, NULL slot and length 0.
-    """
-    buckets = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    totals = buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
-    targets = source_targets(totals, weights, max_epochs, slots)
-    planned = schedule(targets)
-    supply = targets.join(
-        planned.groupBy(F.col("source").alias("s")).agg(F.count("*").alias("n_blocks")),
-        F.col("source").eqNullSafe(F.col("s")), "left",
-    ).select("source", "source_size", "target", "block", F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"))
+def _placed(sizes: DataFrame, targets: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The documents with their offsets in their source's stream, and what is taken of the source."""
+    supply = targets.select("source", "source_size", "target", "block", "n_blocks")
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = buckets.withColumn("base", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
     per_bucket = bases.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "base").join(
@@ -146,13 +164,47 @@ def mix(
         Window.partitionBy("source", "bucket").orderBy("shuffle_key", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = sizes.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
+    return sizes.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         per_bucket, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")),
     ).select(
         "doc_id", "source", "size", "source_size", "target", "block", "n_blocks",
         (F.col("base") + F.col("inside")).alias("offset"),
     )
 
+
+def _bucket_sizes(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Words per (source, bucket) and per source."""
+    buckets = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    return buckets, buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
+
+
+def words_taken(
+    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slots: int = SLOTS,
+) -> DataFrame:
+    """The sums of ``mix``, a row per row of ``sizes``: words taken, repeats counted."""
+    buckets, totals = _bucket_sizes(sizes)
+    placed = _placed(sizes, source_targets(totals, weights, max_epochs, slots), buckets)
+    left = F.col("n_blocks") * F.col("block") - F.col("offset")
+    epochs = [F.least(F.greatest(left - e * F.col("source_size"), F.lit(0)), F.col("size")) for e in range(max_epochs)]
+    return placed.select(
+        "doc_id", "source", "size", "source_size", "target", sum(epochs[1:], epochs[0]).cast("bigint").alias("taken"))
+
+
+def mix(
+    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slots: int = SLOTS,
+) -> DataFrame:
+    """The pieces of documents that the mix takes, in slot order.
+
+    ``sizes`` is ``sized(docs)``, best ``written``, as it is read twice. A row per piece:
+    doc_id, source, size, source_size, target, offset (the document's place in its source's
+    stream), epoch, start and length (words in the document), slot. Documents of which
+    nothing is taken stay, with one row, NULL slot and length 0.
+    """
+    buckets, totals = _bucket_sizes(sizes)
+    targets = source_targets(totals, weights, max_epochs, slots)
+    planned = schedule(targets)
+    placed = _placed(sizes, targets, buckets)
+
     def taken_blocks(epoch: int) -> Column:
         start = F.col("offset") + epoch * F.col("source_size")
         first = F.floor(start / F.col("block"))
@@ -195,7 +247,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in docs.columns]).cast("binary")))
     sizes = written(
         sized(named.withColumn("_doc", F.col("doc_id")).withColumn("doc_id", F.col("_row"))), "mix-sizes")
-    takes = taken(mix(sizes, **settings)).where("taken > 0").select(F.col("doc_id").alias("_row"), "size", "taken")
+    takes = words_taken(sizes, **settings).where("taken > 0").select(F.col("doc_id").alias("_row"), "size", "taken")
     # equal rows are interchangeable: their takes are dealt to them in any order
     dealt = Window.partitionBy("_row").orderBy(F.desc("taken"))
     same = Window.partitionBy("_row").orderBy(F.lit(0))

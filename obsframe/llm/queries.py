@@ -88,7 +88,7 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document; sources weigh 5, 2, 1, repeating."""
     sizes = written(mixing.sized(table(spark, sf_dir, "documents")), "mix-sizes")
-    return mixing.taken(mixing.mix(sizes)).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.words_taken(sizes)
 
 
 ORACLES["op4_source_mix"] = rf"""

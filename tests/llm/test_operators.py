@@ -273,6 +273,28 @@ def test_odd_rows_of_the_native_operators(docs, rows, spark):
     assert len(takes) >= len({r[0] for r in rows}) and all(0 <= r.taken <= 3 * r.size for r in takes)
 
 
+def test_tiny_sources_among_large_ones(spark):
+    small = [(f"t{n}", n) for n in (30, 50, 250, 1000)]
+    sizes = [(f"s{s}", 1500 + 7 * i) for s in range(3) for i in range(100)] + small + [(None, 400), ("t30", 0)]
+    docs = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes)], "doc_id bigint, source string, n bigint")
+    rows = mixing.taken(mixing.mix(mixing.sized(docs, F.col("n")), slots=256)).collect()
+    by_source = defaultdict(int)
+    for r in rows:
+        by_source[r.source] += r.taken
+    assert all(abs(by_source[r.source] - r.target) <= max(0.02 * r.target, 20) for r in rows), by_source
+    assert by_source["t30"] > 0 and len(rows) == len(sizes)
+    straight = mixing.words_taken(mixing.sized(docs, F.col("n")), slots=256)
+    assert sorted(map(tuple, straight.select(rows[0].__fields__).collect()), key=str) == sorted(map(tuple, rows), key=str)
+    # as many words as in some 30 GB, in few rows
+    large = [(f"s{s}", 1_000_000) for s in range(3) for _ in range(1700)]
+    tiny = [("t1", 300), ("t2", 500), ("t3", 2500), ("t4", 1000)]
+    docs = spark.createDataFrame(
+        [(i, s, n) for i, (s, n) in enumerate(large + tiny)], "doc_id bigint, source string, n bigint")
+    got = mixing.words_taken(mixing.sized(docs, F.col("n"))).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 7 and all(abs(r.taken - r.target) <= max(0.02 * r.target, 20) for r in got), got
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns

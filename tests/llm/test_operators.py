@@ -1,5 +1,6 @@
 """The operators against brute force, on a small table with all the odd rows."""
 
+import os
 import random
 import re
 import zlib
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from obsframe.llm import languages, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings
+from obsframe.llm import languages, license_table, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings
 from obsframe.llm import queries as registered
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, n bigint, kind string"
@@ -295,6 +296,57 @@ def test_tiny_sources_among_large_ones(spark):
     assert len(got) == 7 and all(abs(r.taken - r.target) <= max(0.02 * r.target, 20) for r in got), got
 
 
+def test_texts_of_many_licences(spark):
+    bsd = """Copyright (c) 2021, Jane Roe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+    third = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    cases = [
+        ("BSD-2-Clause", bsd % ""), ("BSD-3-Clause", bsd % third), ("CC-BY-NC-4.0", "words\nLicensed under CC BY-NC 4.0.\nmore"),
+        ("CC-BY-SA-4.0", "This article is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ("CC-BY-ND-4.0", "license: cc by-nd 4.0"), ("CC-BY-NC-SA-3.0", "This work is licensed under CC BY-NC-SA 3.0"),
+        ("MPL-2.0", "// SPDX-License-Identifier: MPL-2.0"), ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+        ("LGPL-2.1", "Released under the GNU Lesser General Public License, version 2.1."),
+        ("AGPL-3.0", "Licensed under the GNU Affero General Public License v3"),
+        ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+        ("", "He was not licensed under any of these."), ("", "CC the minutes by noon"),
+    ]
+    shelf = "/usr/share/common-licenses/"
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0")):
+        if os.path.exists(shelf + file):
+            with open(shelf + file) as f:
+                cases.append((name, "\t" + f.read().replace(".  ", ". ") + "\n\n"))
+    table = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(table, license_table.table(spark)).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [name for name, _ in cases]
+    assert all(got[i].whole_text for i in (0, 1, *range(13, len(cases))))
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns

@@ -233,8 +233,11 @@ def mix(
 
 def taken(pieces: DataFrame) -> DataFrame:
     """Words taken per document, repeats counted."""
-    return pieces.groupBy("doc_id", "source", "offset", "size", "source_size", "target").agg(
-        F.sum("length").alias("taken")).drop("offset")
+    names = ("doc_id", "source", "size", "source_size", "target")
+    # rows of size 0 share offsets, and each has one piece
+    held = pieces.where("size > 0").groupBy(*names, "offset").agg(F.sum("length").alias("taken"))
+    empty = pieces.where("size = 0").select(*names, F.col("length").alias("taken"))
+    return held.select(*names, "taken").union(empty)
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:

@@ -296,6 +296,15 @@ def test_tiny_sources_among_large_ones(spark):
     assert len(got) == 7 and all(abs(r.taken - r.target) <= max(0.02 * r.target, 20) for r in got), got
 
 
+def test_repeated_rows_of_the_mix(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "x y", None), (2, "x y", None), (3, "z", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sizes = mixing.sized(docs)
+    for got in (mixing.taken(mixing.mix(sizes)), mixing.words_taken(sizes)):
+        assert Counter((r.doc_id, r.source, r.size) for r in got.collect()) == Counter(
+            (i, s, len(words(t))) for i, t, s in rows)
+
+
 def test_texts_of_many_licences(spark):
     bsd = """Copyright (c) 2021, Jane Roe
 All rights reserved.

@@ -286,7 +286,16 @@ def _continued(live: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFra
 
 
 def deduplicated(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group, with its columns: the one with the smallest doc_id."""
-    kept = near_duplicates(docs, **settings).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    """One document of each group, with its columns: the one with the smallest doc_id, NULL last.
+
+    A row is known by a 64-bit hash of all its columns, so rows that share a doc_id, or have
+    none, are documents of their own. Of equal rows one stays.
+    """
+    row = F.md5(F.concat_ws(
+        "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in docs.columns]).cast("binary"))
+    named = docs.withColumn("_row", F.xxhash64(row))
+    parts = near_duplicates(named.select(F.col("_row").alias("doc_id"), "text"), **settings).select(
+        F.col("doc_id").alias("_row"), "component_id")
+    kept = named.select("_row", "doc_id").join(parts.distinct(), "_row").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")).alias("first")).select("first._row")
+    return named.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)

@@ -296,6 +296,16 @@ def test_tiny_sources_among_large_ones(spark):
     assert len(got) == 7 and all(abs(r.taken - r.target) <= max(0.02 * r.target, 20) for r in got), got
 
 
+def test_deduplicated_rows_with_repeated_and_missing_ids(spark):
+    a, b, c = prose(11, 90), prose(12, 90), prose(13, 90)
+    rows = [(5, a, "x"), (5, b, "x"), (7, b, "x"), (None, c, "x"), (None, c, "y"), (None, a, "x"), (None, prose(14, 90), "x"),
+            (9, prose(15, 90), "x"), (9, prose(15, 90), "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = neardup.deduplicated(docs, shingle=5, percent=80).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(5, a), (5, b), (None, c), (None, prose(14, 90)), (9, prose(15, 90))])
+
+
 def test_repeated_rows_of_the_mix(spark):
     rows = [(1, None, "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "x y", None), (2, "x y", None), (3, "z", "a")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

@@ -8,20 +8,31 @@ rerun gives the same ids. ``write_warc`` writes records in the WARC 1.1 format.
 Column expressions only; a record is made from one row, so nothing is shuffled.
 
 Defined cases: a NULL or empty payload gives a conversion record of length 0 and a metadata
-record without title; NULL headers and URIs are left out of the headers; repeated responses
-give repeated records; other columns of the input are ignored.
+record without title; character references that HTML does not have stay as they are; NULL
+headers and URIs are left out of the headers; repeated responses give repeated records; other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Named character references that are decoded; the ampersand must be last.
+# The usual character references; &nbsp; becomes a plain space.
 REFERENCES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
     ("&middot;", "·"), ("&amp;", "&"),
 )
+# All references of HTML: by number, by name, and by the old names that need no semicolon.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+OLD_NAME = "^&(?:" + "|".join(sorted((x for x in html5 if x[-1] != ";"), key=lambda name: (-len(name), name))) + ")"
+NAMED = json.dumps({f"&{name}": " " if character == "\xa0" else character for name, character in html5.items()})
+# Numbers 128 to 159 mean the characters of windows-1252, where it has any.
+LATIN = json.dumps({
+    str(n): bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)})
 # Elements that are dropped with their content, and those that end a line.
 DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>"
 LINE_TAGS = r"(?i)</?(?:address|article|aside|blockquote|br|div|dd|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
@@ -38,10 +49,34 @@ def record_id(*parts: Column) -> Column:
     return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *[F.substring(digest, a, n) for a, n in cuts]))
 
 
-def _decoded(text: Column) -> Column:
+def _numbered(reference: Column) -> Column:
+    """The character of a reference by number; U+FFFD where there is none."""
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    base = F.when(F.lower(F.substring(reference, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits)
+    number = F.when((digits != "") & (F.length(digits) < 9), base.cast("bigint")).otherwise(0)
+    known = F.element_at(F.from_json(F.lit(LATIN), "map<string,string>"), number.cast("string"))
+    wrong = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    coded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(wrong, "\ufffd").when(number == 0xA0, " ").when(known.isNotNull(), known).otherwise(coded)
+
+
+def _character(reference: Column) -> Column:
+    usual = F.when(F.lit(False), F.lit(""))
     for name, character in REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(character))
-    return text
+        usual = usual.when(reference == name, character)
+    named = F.from_json(F.lit(NAMED), "map<string,string>")
+    old = F.regexp_extract(reference, OLD_NAME, 0)
+    begun = F.concat(F.element_at(named, old), F.substr(reference, F.length(old) + 1))
+    return usual.when(reference.startswith("&#"), _numbered(reference)).otherwise(
+        F.coalesce(F.element_at(named, reference), begun, reference))
+
+
+def _decoded(text: Column) -> Column:
+    """The text with its character references decoded, each once."""
+    characters = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
+    pieces = F.zip_with(
+        F.split(text, REFERENCE, -1), characters, lambda piece, character: F.concat(piece, F.coalesce(character, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:

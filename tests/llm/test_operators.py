@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from obsframe.llm import languages, license_table, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings
+from obsframe.llm import languages, license_table, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, warc
 from obsframe.llm import queries as registered
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, n bigint, kind string"
@@ -306,6 +306,23 @@ def test_deduplicated_rows_with_repeated_and_missing_ids(spark):
         [(5, a), (5, b), (None, c), (None, prose(14, 90)), (9, prose(15, 90))])
 
 
+def test_character_references(spark):
+    cases = [
+        ("caf&eacute; &mdash; it&#8217;s &#x27;so&#X27;", "café — it’s 'so'"), ("&amp;lt; &amp;eacute; &lt;b&gt;", "&lt; &eacute; <b>"),
+        ("a&nbsp;b&#160;c", "a b c"), ("&copy 2020 &notit; &euro; &#128; &#129;", "© 2020 ¬it; € € \x81"),
+        ("&copy2020 &notin &notin; &ampx;", "©2020 ¬in ∉ &x;"),
+        ("&bogus; &; & &#; &#x; AT&T", "&bogus; &; & &#; &#x; AT&T"), ("&#0; &#xD800; &#99999999999999999999; &#x110000;", "\ufffd \ufffd \ufffd \ufffd"),
+        ("&#x1F600; &NotEqualTilde; &hellip;", "😀 ≂̸ …"), ("&quot;&middot;&#39;&#0039;", "\"·''"), ("plain", "plain"),
+    ]
+    pages = spark.createDataFrame(
+        [(i, f"<html><title>{t}</title><p>{t}</p>") for i, (t, _) in enumerate(cases)], "page_id bigint, html string")
+    got = pages.select("page_id", warc.plain_text(F.col("html")).alias("text")).collect()
+    assert {r.page_id: r.text for r in got} == {i: want for i, (_, want) in enumerate(cases)}
+    records = warc.derive(warc.responses_of_pages(pages.withColumn("url", F.lit("u"))), keep=("page_id",))
+    titles = {r.page_id: r.block for r in records.where("record_type = 'metadata'").collect()}
+    assert titles[0].startswith("title: café — it’s 'so'\r\n")
+
+
 def test_repeated_rows_of_the_mix(spark):
     rows = [(1, None, "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "x y", None), (2, "x y", None), (3, "z", "a")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

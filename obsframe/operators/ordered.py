@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from obsframe.functions.scalars import div
 
 _FAN_OUT = 4096
+#: ``monotonically_increasing_id`` numbers the rows of a task in its lower bits.
+_RANGE_BITS = 33
 _MISSING_TEXT = "\x00missing"
 _MISSING_INT = -(2**63)
 
@@ -142,6 +144,42 @@ def row_rank(df: DataFrame, order: str, width: int, out: str) -> DataFrame:
     return ranked.drop("_one")
 
 
+def range_rank(df: DataFrame, order: Sequence[Column], out: str, label: str = "ranks") -> DataFrame:
+    """1-based position of each row in ``order``, over the whole table.
+
+    Rows are dealt to as many ranges as there are shuffle partitions; Spark samples the
+    bounds from the data, so neither sparse nor crowded values matter.  Each range is
+    sorted and numbered in its task; what the ranges before it hold is a prefix sum over
+    one row per range.  Rows that are equal in ``order`` share a range: give it a last
+    column that tells them apart.
+
+    The numbered rows are written once to the shared folder, as another run of the same
+    plan may sample other bounds.
+    """
+    from obsframe.plans.session import written_once  # plans are made of operators
+
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (
+        df.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_number", F.monotonically_increasing_id())
+    )
+    rows = written_once(numbered, label).withColumns({
+        "_range": F.shiftright("_number", _RANGE_BITS).cast("int"),
+        "_place": F.col("_number").bitwiseAND(F.lit((1 << _RANGE_BITS) - 1)) + 1,
+    })
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("_range").alias("_r_range"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    # one row per range, so its size is that of the shuffle settings
+    ranked = rows.join(F.broadcast(before), F.col("_range") == F.col("_r_range"))
+    return ranked.withColumn(out, F.col("_before") + F.col("_place")).drop(
+        "_number", "_range", "_r_range", "_place", "_before"
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],

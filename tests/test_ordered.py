@@ -38,6 +38,19 @@ def test_row_rank(spark):
     assert {r.seq: r.r for r in got} == {s: i for i, s in enumerate(sorted(seqs), 1)}
 
 
+def test_range_rank(spark):
+    rng = random.Random(4)
+    crowded = [(10**15 + rng.randint(0, 50), i) for i in range(400)]
+    sparse = [(rng.choice((-1, 1)) * 10 ** rng.randint(0, 17), 1000 + i) for i in range(200)]
+    rows = [*crowded, *sparse, (None, 1), (None, 2), *[(7, 5000 + i) for i in range(300)]]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "v bigint, id bigint").repartition(5)
+    got = R.range_rank(df, [F.desc_nulls_last("v"), F.asc("id")], "place").orderBy("place").collect()
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r.v, r.id) for r in got] == want and [r.place for r in got] == list(range(1, len(rows) + 1))
+    assert R.range_rank(df.limit(0), [F.asc("v")], "place").count() == 0
+
+
 @pytest.mark.parametrize("width", [1, 50, 10**6])
 def test_exact_quantiles(spark, width):
     rng = np.random.default_rng(0)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.llm import (
-    languages, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, warc)
+    importance, languages, licenses, mixing, neardup, neighbours, packing, periodic, quality, secrets, substrings,
+    voting, warc)
 from obsframe.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -306,3 +308,56 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return languages.identified(table(spark, sf_dir, "documents"))
+
+
+# ---- 11 periodic runs -----------------------------------------------------------------
+
+
+def planted(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of a document whose tail is made periodic, in one of ten documents; NULL ids keep theirs."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    root = words[a:a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (root * -(-(n - a) // len(root)))[:n - a]
+
+
+@_registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the one of the greatest exponent, and digests of runs and other words."""
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), planted)
+    # runs are in the order that settles ties
+    best = F.reduce(
+        "runs", F.lit(None).cast(periodic.RUN), lambda held, run: F.when(
+            held.isNull() | (run["length"] * held["period"] > held["length"] * run["period"]), run).otherwise(held))
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    listed = F.array_join(F.transform("runs", lambda run: F.concat(line(run), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+# ---- 12 quality classifier ------------------------------------------------------------
+
+
+@_registered
+def op12_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by votes of the nearest labelled ones, folds 1 to 4 of 5."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = voting.train(docs, labels.where(languages.fold(F.col("doc_id"), 5) != 0))
+    scored = voting.scored(docs, model, languages.fold(F.col("doc_id"), 5) == 0)
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+# ---- 13 importance resampling ---------------------------------------------------------
+
+
+@_registered
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words or more, drawn towards the words of the benchmark."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resampled(docs, target, percent=10, least_words=20).select(
+        "doc_id", "n_features", "weight", "score", "rank")

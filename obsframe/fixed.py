@@ -73,6 +73,7 @@ UNTRACED_PATHS = ("/health",)
 # -- fixed values: panel and alert --------------------------------------------
 THRESHOLD_STEPS = ((None, "green"), (5.0, "#EAB839"), (15.0, "red"))
 ALERT_THRESHOLD = 10.0
+ALERT_RANGE = "3 hours"
 HEATMAP_HIDE_BELOW = 1e-9
 
 # -- fixed values: book status -------------------------------------------------

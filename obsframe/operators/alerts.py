@@ -21,13 +21,19 @@ def alert_states(
     for_: str | float = "1 minute",
     interval: str | float = "1 minute",
     failed: str | None = None,
+    lookback: str | float | None = None,
+    until=None,
 ) -> DataFrame:
-    """State at every evaluation between a rule's first and last time ``t``.
+    """State at every evaluation from a rule's first time ``t`` to its last, or to ``until``.
 
     A value above the threshold is Pending until it has been so for ``for_``, then
     Alerting.  An evaluation without value is NoData; one whose ``failed`` column is
     true is Error.  Both end a streak.
 
+    With a ``lookback``, an evaluation asks for that range and takes its last value: the
+    last one that did not fail, in ``(t - lookback, t]``.  So gaps shorter than the range
+    carry a value on, and only longer ones are NoData.
+
     ``values`` has one row per rule and evaluation, so a rule's window is bounded by
     the time range over the interval and not by the data behind the values.
     """
@@ -40,7 +46,8 @@ def alert_states(
     )
     rule = W.partitionBy(*(keys or [F.lit(0)]))
     # An evaluation fills the steps up to the next one; all but the first have no value.
-    until = F.coalesce(F.lead("at_us").over(rule.orderBy("at_us")) - 1, F.col("at_us"))
+    end = F.col("at_us") if until is None else F.unix_micros(F.lit(until).cast("timestamp"))
+    until = F.coalesce(F.lead("at_us").over(rule.orderBy("at_us")) - 1, end)
     filled = src.withColumn("_until", F.greatest(until, F.col("at_us"))).withColumn(
         "t_us", F.explode(F.sequence("at_us", "_until", F.lit(step).cast("bigint")))
     )
@@ -49,6 +56,11 @@ def alert_states(
         "value": F.when(given, F.col("value")), "failed": given & F.col("failed"),
     })
     order = rule.orderBy("t_us")
+    if lookback is not None:
+        reached = order.rangeBetween(1 - micros(lookback), 0)
+        steps = steps.withColumn(
+            "value", F.last(F.when(~F.col("failed"), F.col("value")), ignorenulls=True).over(reached)
+        )
     breach = (
         ~F.col("failed") & F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") > threshold)
     )

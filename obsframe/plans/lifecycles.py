@@ -95,10 +95,15 @@ def error_alert(
     step: str | float = "1 minute",
     threshold: float = fixed.ALERT_THRESHOLD,
     for_: str | float = "1 minute",
+    lookback: str | float | None = fixed.ALERT_RANGE,
 ) -> DataFrame:
-    """Alert states of a service's error rate, from raw spans."""
+    """Alert states of a service's error rate, from raw spans.
+
+    Each evaluation takes the last rate within ``lookback``; None takes only the rate
+    of the evaluation's own time.
+    """
     values = span_error_rate(spans, service, window, rate_window, step)
-    return alert_states(values, threshold=threshold, for_=for_, interval=step)
+    return alert_states(values, threshold=threshold, for_=for_, interval=step, lookback=lookback)
 
 
 def latest_error_rate(

@@ -15,18 +15,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from obsframe import fixed
 from obsframe.functions.bags import value_of
-from obsframe.functions.scalars import micros, seconds
+from obsframe.functions.scalars import seconds
 from obsframe.operators.attributes import process_logs
-from obsframe.operators.ordered import (
-    chunk_index,
-    fill_keys,
-    join_per_chunk,
-    restore_keys,
-)
-from obsframe.operators.series import delta_to_cumulative
 from obsframe.operators.servicegraph import callees, callers, edge_rows, paired
 from obsframe.operators.spanmetrics import CALL_KEYS, bucket_counts, bucket_rows
-from obsframe.plans.session import configure
 from obsframe.sources.messages import parse_ingestion, split_ingestion
 from obsframe.sources.tables import dated, fan_out
 
@@ -125,62 +117,3 @@ def stream_logs(
         .option("checkpointLocation", f"{checkpoint}/counts")
     )
     return _triggered(store, every).start(), _triggered(count, every).start()
-
-
-def stream_delta_to_cumulative(
-    points_stream: DataFrame,
-    series: Sequence[str],
-    out: str,
-    state: str,
-    checkpoint: str,
-    chunk: str | float = "10 seconds",
-    every: str | None = "10 seconds",
-) -> StreamingQuery:
-    """Running totals of delta points across micro-batches, written to ``out``.
-
-    Points at or before the last time written for their series are dropped; points of
-    one micro-batch are taken in time order.  The state table has one row per series
-    and alternates between two folders, so a repeated batch finds the state before it.
-    State and checkpoint belong together: a new checkpoint starts new totals.
-
-    The work of a batch is the batch operator, so a series that fills most of a
-    micro-batch is cut into time chunks instead of being one task's state.
-    """
-    series = list(series)
-
-    at = chunk_index(F.unix_micros("ts"), micros(chunk))
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = configure(batch.sparkSession)
-        points = batch.select(*series, "ts", F.col("value").cast("double").alias("value"))
-        names = ", ".join(f"{name} {dtype}" for name, dtype in points.select(*series).dtypes)
-        schema = f"{names}, last_us bigint, total double"
-        if batch_id == 0:
-            prior = spark.createDataFrame([], schema)
-        else:
-            prior = spark.read.schema(schema).parquet(f"{state}/slot={(batch_id - 1) % 2}")
-        known = fill_keys(prior, series)
-
-        def with_state(df: DataFrame) -> DataFrame:
-            return restore_keys(join_per_chunk(fill_keys(df, series), series, at, known), series)
-
-        def write_totals(fresh: DataFrame) -> None:
-            sums = with_state(delta_to_cumulative(fresh, series, chunk=chunk))
-            value = F.col("value") + F.coalesce("total", F.lit(0.0))
-            _batch_writer(out, batch_id)(sums.select(*series, "ts", value.alias("value")))
-
-        def write_state(fresh: DataFrame) -> None:
-            added = fresh.groupBy(*series).agg(
-                F.max(F.unix_micros("ts")).alias("last_us"), F.sum("value").alias("total")
-            )
-            merged = prior.unionByName(added).groupBy(*series).agg(
-                F.max("last_us").alias("last_us"), F.sum("total").alias("total")
-            )
-            merged.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
-
-        later = F.coalesce(F.unix_micros("ts") > F.col("last_us"), F.lit(True))
-        fresh = with_state(points).filter(later).drop("last_us", "total")
-        fan_out(fresh, {"totals": write_totals, "state": write_state})
-
-    writer = points_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return _triggered(writer, every).start()

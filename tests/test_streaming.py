@@ -7,16 +7,19 @@ from obsframe.operators import series as S
 from obsframe.operators import servicegraph as G
 from obsframe.operators import spanmetrics as M
 from obsframe.operators.alerts import alert_states
+from obsframe.plans import lifecycles as P
 from obsframe.plans.session import fresh_dir
 from obsframe.sources import fan_out, read_ingestion_stream, stream_signal, write_ingestion, write_signal
 from obsframe.streaming import (
     ingestion_job,
     stream_alerts,
     stream_delta_to_cumulative,
+    stream_error_alert,
     stream_logs,
     stream_service_edges,
     stream_span_metrics,
 )
+from obsframe.streaming import alerts as A
 from workload.views import as_logs, as_records, view
 
 MIN = 60_000_000
@@ -67,31 +70,38 @@ def test_span_metrics_equal_batch_and_late_spans_are_dropped(spark, spans):
     assert got.filter("calls <> count").count() == 0
 
 
-def test_totals_continue_across_batches_and_restarts(spark, sf_dir):
-    points = view(spark, sf_dir, "points").select("event_id", "series", "ts", "value")
+@pytest.mark.parametrize("cuts", [(1,), (2, 3), (1, 2, 3, 4, 5, 6)])
+def test_totals_do_not_know_micro_batches(spark, sf_dir, cuts):
+    """The same points, cut in different ways and with restarts, late ones among them."""
+    late = F.expr("CASE WHEN event_id % 9 = 0 THEN ts - INTERVAL 3 HOUR WHEN event_id % 50 = 1 THEN NULL ELSE ts END")
+    points = view(spark, sf_dir, "points").select(
+        "event_id", F.when(F.col("event_id") % 4 > 0, F.col("series")).alias("series"), late.alias("ts"),
+        F.when(F.col("event_id") % 5 > 0, F.col("event_id") % 100).cast("double").alias("value"))
+    feed, root = Feed(spark, "points", points.schema), fresh_dir(spark, "st3")
+    parts = slices(points, 7)
+    bounds = [0, *cuts, len(parts)]
+    for low, high in zip(bounds, bounds[1:]):
+        for part in parts[low:high]:
+            feed.add(part.orderBy(F.desc("value")))
+        drain(stream_delta_to_cumulative(feed.stream(), ["series"], "event_id"), root)
+    got = spark.read.parquet(f"{root}/out")
+    want = S.delta_to_cumulative(points.filter("ts is not null"), ["series"], arrival="event_id")
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    assert want.count() < points.filter("ts is not null").count()
+
+
+def test_state_grows_with_series_only(spark, sf_dir):
+    points = view(spark, sf_dir, "points")
     feed, root = Feed(spark, "points", points.schema), fresh_dir(spark, "st3")
-    start = lambda: stream_delta_to_cumulative(
-        feed.stream(), ["series"], f"{root}/out", f"{root}/state", f"{root}/cp", chunk="1 hour", every=None).awaitTermination()
     for part in slices(points, 3):
         feed.add(part)
-        start()
-    feed.add(points.limit(50).withColumn("value", F.lit(1e9)))
-    start()
-    got = spark.read.parquet(f"{root}/out").select("series", "ts", "value")
-    want = S.delta_to_cumulative(points, ["series"])
-    assert got.count() == want.count() and got.exceptAll(want).count() == 0
-
-
-def test_a_repeated_batch_leaves_no_duplicates(spark):
-    rows = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0)], "series string, us bigint, value double").select(
-        "series", F.timestamp_micros("us").alias("ts"), "value")
-    feed, root = Feed(spark, "again", rows.schema), fresh_dir(spark, "st3")
-    for checkpoint in ("first", "second"):
-        if checkpoint == "first":
-            feed.add(rows)
-        stream_delta_to_cumulative(
-            feed.stream(), ["series"], f"{root}/out", f"{root}/state", f"{root}/{checkpoint}", every=None).awaitTermination()
-    assert sorted(r.value for r in spark.read.parquet(f"{root}/out").collect()) == [1.0, 3.0]
+    out = stream_delta_to_cumulative(feed.stream(), ["series"], "event_id")
+    query = out.writeStream.format("parquet").option("path", f"{root}/out").option(
+        "checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    series = points.select("series").distinct().count()
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]] == [series] * 3
+    assert query.recentProgress[0]["stateOperators"][0]["operatorName"] == "transformWithStateInPandasExec"
 
 
 def test_edges_pair_across_batches_and_expire(spark):
@@ -119,11 +129,11 @@ def test_edges_pair_across_batches_and_expire(spark):
 
 def test_alert_states_continue_across_batches(spark):
     values = [1, 11, 12, 3, 11, None, 11, 11, 11, 2]
-    rows = [("r", i * MIN, None if v is None else float(v)) for i, v in enumerate(values) if i != 7] + [
-        ("q", i * MIN, 11.0) for i in range(10)]
+    rows = [("r", i * MIN, None if v is None else float(v)) for i, v in enumerate(values, 1) if i != 8] + [
+        ("q", i * MIN, 11.0) for i in range(1, 11)]
     df = spark.createDataFrame(rows, "rule string, us bigint, value double").withColumn("t", F.timestamp_micros("us"))
     feed, root = Feed(spark, "values", df.schema), fresh_dir(spark, "st5")
-    for lo, hi in ((0, 3), (3, 6), (6, 10), (2, 4)):
+    for lo, hi in ((1, 4), (4, 7), (7, 11), (3, 5)):
         feed.add(df.filter((F.col("us") >= lo * MIN) & (F.col("us") < hi * MIN)))
         drain(stream_alerts(feed.stream()), root)
     got = spark.read.parquet(f"{root}/out")
@@ -132,6 +142,66 @@ def test_alert_states_continue_across_batches(spark):
     assert got.exceptAll(want).count() == 0
 
 
+@pytest.mark.parametrize("lookback, piece", [(None, 1 << 15), ("3 minutes", 1 << 15), ("3 minutes", 4), ("2 hours", 7)])
+def test_silence_and_gaps(spark, monkeypatch, lookback, piece):
+    """An hour of silence of one rule while another goes on; failures, NULL and NaN values."""
+    monkeypatch.setattr(A, "_PIECE", piece)
+    nan = float("nan")
+    r = [(1, 11.0, False), (2, 12.0, False), (4, 13.0, False), (5, 14.0, True), (6, 14.0, False), (8, None, False),
+         (9, nan, False), (10, 20.0, False), (70, 11.0, False), (71, 11.0, None), (73, 1.0, False)]
+    rows = [("r", m * MIN, v, f) for m, v, f in r] + [(None, m * MIN, 30.0 if m % 9 else 1.0, False) for m in range(1, 81, 2)]
+    df = spark.createDataFrame(rows, "rule string, us bigint, value double, failed boolean").withColumn(
+        "t", F.timestamp_micros("us"))
+    feed, root = Feed(spark, "values", df.schema), fresh_dir(spark, "st5")
+    for lo, hi in ((1, 5), (5, 9), (9, 40), (40, 60), (60, 72), (72, 81)):
+        feed.add(df.filter((F.col("us") >= lo * MIN) & (F.col("us") < hi * MIN)))
+    options = dict(failed="failed", lookback=lookback)
+    drain(stream_alerts(feed.stream(), **options), root)
+    got = spark.read.parquet(f"{root}/out")
+    end = F.timestamp_micros(F.lit(79 * MIN))
+    want = alert_states(df, ["rule"], until=end, **options).select("rule", "t", "value", "state", "since")
+    assert got.count() == want.count() == 2 * 79
+    assert got.exceptAll(want).count() == 0
+    silent = got.filter(f"rule = 'r' and t > timestamp_micros({11 * MIN}) and t < timestamp_micros({70 * MIN})")
+    states = {x.state: x["count"] for x in silent.groupBy("state").count().collect()}
+    assert states == ({"NoData": 58} if lookback is None else {"Alerting": 1, "NoData": 57} if lookback == "3 minutes" else {"Alerting": 58})
+
+
+def test_values_within_the_delay_are_in_time(spark):
+    df = spark.createDataFrame([("r", m * MIN, float(m % 13)) for m in range(1, 41)], "rule string, us bigint, value double").withColumn(
+        "t", F.timestamp_micros("us"))
+    out = []
+    for order in ([0, 1, 2, 3], [1, 0, 3, 2]):
+        feed, root = Feed(spark, "values", df.schema), fresh_dir(spark, "st5")
+        for i in order:
+            feed.add(df.filter((F.col("us") > i * 10 * MIN) & (F.col("us") <= (i + 1) * 10 * MIN)))
+        drain(stream_alerts(feed.stream(), 5.0, delay="20 minutes"), root)
+        out.append(sorted(map(str, spark.read.parquet(f"{root}/out").collect())))
+    want = alert_states(df, ["rule"], 5.0).filter(F.col("t") <= F.timestamp_micros(F.lit(20 * MIN)))
+    assert out[0] == out[1] == sorted(map(str, want.select("rule", "t", "value", "state", "since").collect()))
+
+
+def test_alert_of_a_span_stream(spark, spans):
+    feed, root = Feed(spark, "spans", spans.schema), fresh_dir(spark, "st7")
+    settings = dict(window="1 hour", rate_window="6 hours", step="1 hour", threshold=0.0002, for_="2 hours", lookback="3 hours")
+    for part in slices(spans, 4):
+        feed.add(part)
+        drain(stream_error_alert(feed.stream(), None, delay="10 minutes", **settings), root)
+    got = spark.read.parquet(f"{root}/out").withColumn("value", F.round("value", 9))
+    columns = ["t", "value", "state", "since"]
+    end = F.lit(spans.agg(F.max("start_ts")).first()[0]) - F.expr("INTERVAL 10 MINUTES")
+    services = [r.service_name for r in got.select("service_name").distinct().collect()]
+    assert services
+    for service in services:
+        rates = P.span_error_rate(spans, service, "1 hour", "6 hours", "1 hour")
+        want = alert_states(rates, (), 0.0002, "2 hours", "1 hour", lookback="3 hours", until=end).filter(
+            F.col("t") <= end).withColumn("value", F.round("value", 9))
+        mine = got.filter(F.col("service_name") == service)
+        assert mine.count() == want.count() > 0 and mine.select(columns).exceptAll(want.select(columns)).count() == 0
+        batch = P.error_alert(spans, service, **settings).withColumn("value", F.round("value", 9)).filter(F.col("t") <= end)
+        assert batch.select(columns).exceptAll(mine.select(columns)).count() == 0
+
+
 def test_logs_are_stored_and_counted(spark, sf_dir):
     logs = as_logs(view(spark, sf_dir, "logs"))
     feed, root = Feed(spark, "logs", logs.schema), fresh_dir(spark, "st6")

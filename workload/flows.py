@@ -7,7 +7,7 @@ from obsframe.functions.bags import value_of
 from obsframe.operators.series import bound_text
 from obsframe.plans import lifecycles as P
 from workload.registry import query
-from workload.series import _HOUR, _rate_ctes
+from workload.series import _GRID, _HOUR, _STATES, _STREAKS, _rate_ctes, reduced
 from workload.spans import _EDGES, _KEYS, _bounds
 from workload.views import as_logs, us, view, with_views
 
@@ -27,20 +27,26 @@ def call_points(spark, sf):
     return points.select(*[value_of("labels", k).alias(c) for k, c in names.items()], us("ts"), "value")
 
 
-@query("w7_error_alert", _V(["spans"], f"""
-  SELECT t_us, value, CASE WHEN value IS NULL THEN 'NoData' WHEN NOT breach THEN 'Normal'
-    WHEN t_us - since_us >= {2 * _HOUR} THEN 'Alerting' ELSE 'Pending' END AS state FROM b""",
-    totals=_TOTALS, f=_FAILED, **_RATES,
-    v=f"SELECT t_us, round(sum(inc / {_W / 1e6}), 9) AS value FROM r GROUP BY t_us",
-    grid=f"SELECT unnest(generate_series((SELECT min(t_us) FROM v), (SELECT max(t_us) FROM v), {_HOUR})) AS t_us",
-    q="SELECT t_us, value, coalesce(value > 0.0002, false) AS breach FROM grid LEFT JOIN v USING (t_us)",
-    b="""SELECT q.*, (SELECT min(s.t_us) FROM q s WHERE s.breach AND s.t_us <= q.t_us AND s.t_us >
-        coalesce((SELECT max(c.t_us) FROM q c WHERE NOT c.breach AND c.t_us <= q.t_us), -1)) AS since_us FROM q"""))
+_V_OF_RATES = f"SELECT t_us, round(sum(inc / {_W / 1e6}), 9) AS value FROM r GROUP BY t_us"
+
+
+@query("w7_error_alert", _V(["spans"], f"SELECT t_us, value, state FROM ({_STATES})",
+    totals=_TOTALS, f=_FAILED, **_RATES, v=_V_OF_RATES, grid=_GRID,
+    q="SELECT t_us, value, coalesce(value > 0.0002, false) AS breach FROM grid LEFT JOIN v USING (t_us)", b=_STREAKS))
 def error_alert(spark, sf):
-    out = P.error_alert(view(spark, sf, "spans"), "bookapp", "1 hour", "6 hours", "1 hour", 0.0002, "2 hours")
+    out = P.error_alert(view(spark, sf, "spans"), "bookapp", "1 hour", "6 hours", "1 hour", 0.0002, "2 hours",
+                        lookback=None)
     return out.select(us("t"), F.round("value", 9).alias("value"), "state")
 
 
+@query("w7_error_alert_range", _V(["spans"], _STATES,
+    totals=_TOTALS, f=_FAILED, **_RATES, v=_V_OF_RATES, grid=_GRID, q=reduced(0.0002), b=_STREAKS))
+def error_alert_range(spark, sf):
+    out = P.error_alert(view(spark, sf, "spans"), "bookapp", "1 hour", "6 hours", "1 hour", 0.0002, "2 hours",
+                        lookback="3 hours")
+    return out.select(us("t"), F.round("value", 9).alias("value"), "state", us("since"))
+
+
 @query("w6_latest_error_rate", _V(["spans"], f"""
   SELECT max(t_us) AS t_us, arg_max(value, t_us) AS value FROM
     (SELECT t_us, round(sum(inc / {_W / 1e6}), 9) AS value FROM r GROUP BY t_us)""", totals=_TOTALS, f=_FAILED, **_RATES))

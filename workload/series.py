@@ -157,21 +157,45 @@ def reduce_last(spark, sf):
     return S.reduce_last(view(spark, sf, "points"), ["series"], ts="ts").select("series", us("ts"), "value")
 
 
-@query("w7_alert_states", _V(["points"], f"""
+_GRID = f"SELECT unnest(generate_series((SELECT min(t_us) FROM v), (SELECT max(t_us) FROM v), {_HOUR})) AS t_us"
+_STREAKS = """SELECT q.*, (SELECT min(s.t_us) FROM q s WHERE s.breach AND s.t_us <= q.t_us AND s.t_us >
+        coalesce((SELECT max(c.t_us) FROM q c WHERE NOT c.breach AND c.t_us <= q.t_us), -1)) AS since_us FROM q"""
+_STATES = f"""
   SELECT b.t_us, b.value, CASE WHEN b.value IS NULL THEN 'NoData' WHEN NOT b.breach THEN 'Normal'
       WHEN b.t_us - b.since_us >= {2 * _HOUR} THEN 'Alerting' ELSE 'Pending' END AS state,
-    CASE WHEN b.breach THEN b.since_us END AS since_us FROM b""",
-    f=_FAILED, **_rate_ctes("f", "service, span_name, span_kind, status_code"),
-    v=_SUMMED,
-    grid=f"SELECT unnest(generate_series((SELECT min(t_us) FROM v), (SELECT max(t_us) FROM v), {_HOUR})) AS t_us",
-    q="SELECT t_us, value, coalesce(value > 0.012, false) AS breach FROM grid LEFT JOIN v USING (t_us)",
-    b="""SELECT q.*, (SELECT min(s.t_us) FROM q s WHERE s.breach AND s.t_us <= q.t_us AND s.t_us >
-        coalesce((SELECT max(c.t_us) FROM q c WHERE NOT c.breach AND c.t_us <= q.t_us), -1)) AS since_us FROM q"""))
+    CASE WHEN b.breach THEN b.since_us END AS since_us FROM b"""
+#: Hours without a value: gaps of two and of four, where an evaluation looks back three.
+_GAPS = (2, 3, 5, 6, 7, 8)
+
+
+def reduced(threshold):
+    """Range, last, threshold: each evaluation takes the last value of three hours."""
+    return f"""SELECT g.t_us, arg_max(v.value, v.t_us) AS value, coalesce(arg_max(v.value, v.t_us) > {threshold}, false) AS breach
+      FROM grid g LEFT JOIN v ON v.t_us <= g.t_us AND v.t_us > g.t_us - {3 * _HOUR} GROUP BY g.t_us"""
+
+
+@query("w7_alert_states", _V(["points"], _STATES,
+    f=_FAILED, **_rate_ctes("f", "service, span_name, span_kind, status_code"), v=_SUMMED, grid=_GRID,
+    q="SELECT t_us, value, coalesce(value > 0.012, false) AS breach FROM grid LEFT JOIN v USING (t_us)", b=_STREAKS))
 def alert_states(spark, sf):
     out = AL.alert_states(_error_rate(spark, sf), threshold=0.012, for_="2 hours", interval="1 hour")
     return out.select(us("t"), "value", "state", us("since"))
 
 
+def _gappy_rate(spark, sf):
+    hour = F.expr(f"unix_micros(t) div {_HOUR} % 11")
+    return _error_rate(spark, sf).filter(~hour.isin(*_GAPS))
+
+
+@query("w7_alert_states_range", _V(["points"], _STATES,
+    f=_FAILED, **_rate_ctes("f", "service, span_name, span_kind, status_code"), summed=_SUMMED,
+    v=f"SELECT * FROM summed WHERE t_us // {_HOUR} % 11 NOT IN {_GAPS}", grid=_GRID, q=reduced(0.012), b=_STREAKS))
+def alert_states_range(spark, sf):
+    out = AL.alert_states(
+        _gappy_rate(spark, sf), threshold=0.012, for_="2 hours", interval="1 hour", lookback="3 hours")
+    return out.select(us("t"), "value", "state", us("since"))
+
+
 @query("u1_fan_in", _V(["points", "requests"], """
   SELECT metric, service, epoch_us(ts) AS ts_us, value FROM (
     SELECT 'calls' AS metric, service, ts, value FROM points

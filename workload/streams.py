@@ -8,23 +8,35 @@ from obsframe.plans.session import configure, fresh_dir
 from obsframe.sources import messages as MS
 from obsframe.sources import tables as T
 from obsframe.streaming import jobs as J
-from obsframe.streaming.alerts import stream_alerts as alerts
-from workload import series
+from obsframe import streaming as ST
+from workload import flows, series
 from workload.registry import ORACLES, query
 from workload.spans import _EDGES, _KEYS, _bounds
-from workload.views import VIEWS, as_logs, as_records, project, us, view, with_views
+from workload.views import VIEWS, as_logs, as_records, project, table, us, view, with_views
 
 _V = with_views
 
 
+#: Micro-batches that a table is read in.
+BATCHES = 3
+
+
+def arriving(df, spark, by, label):
+    """A table as a stream that gets a file per micro-batch, in the order of an integer column."""
+    low, high = df.agg(F.min(by), F.max(by)).first()
+    cuts = [] if low is None else [low + (high + 1 - low) * i // BATCHES for i in range(1, BATCHES)]
+    batch = F.lit(0)
+    for cut in cuts:
+        batch = batch + (F.col(by) >= cut).cast("int")
+    path = fresh_dir(spark, label)
+    for i in range(BATCHES):  # files are read in the order they were written in
+        df.filter(F.coalesce(batch, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def stream_of(spark, sf, name):
-    """A view as a stream over its table's file."""
-    configure(spark)
-    source = VIEWS[name][0]
-    schema = spark.read.parquet(f"{sf}/{source}.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", f"{source}.parquet").parquet(sf)
-    zoneless = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
-    return project(raw.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}), name)
+    """A view as a stream over its table, in several micro-batches."""
+    return project(arriving(table(spark, sf, VIEWS[name][0]), spark, "event_id", f"stream-{name}"), name)
 
 
 def run_once(df, spark, label):
@@ -73,13 +85,13 @@ def stream_span_metrics(spark, sf):
         bound_text("le").alias("le"), "calls", "bucket_count", "sum_ns")
 
 
-@query("st3_stream_delta_to_cumulative", ORACLES["w1_delta_to_cumulative"])
+@query("st3_stream_delta_to_cumulative", ORACLES["w1_delta_out_of_order"])
 def stream_delta_to_cumulative(spark, sf):
-    root = fresh_dir(spark, "totals")
-    J.stream_delta_to_cumulative(
-        stream_of(spark, sf, "points"), ["series"], f"{root}/out", f"{root}/state", f"{root}/checkpoint",
-        chunk="6 hours", every=None).awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("series", us("ts"), "value")
+    late = F.expr("CASE WHEN event_id % 9 = 0 THEN ts - INTERVAL 12 HOUR ELSE ts END")
+    points = arriving(table(spark, sf, "events"), spark, "event_id", "deltas").select(
+        F.col("event_type").alias("series"), "event_id", late.alias("ts"), (F.col("event_id") % 10).alias("value"))
+    out = run_once(ST.stream_delta_to_cumulative(points, ["series"], "event_id"), spark, "totals")
+    return out.select("series", us("ts"), "value")
 
 
 @query("st4_stream_service_edges", _V(["spans"], f"""
@@ -90,15 +102,41 @@ def stream_service_edges(spark, sf):
     return run_once(out, spark, "edges").drop("client_ts", "server_ts")
 
 
-@query("st5_stream_alerts", ORACLES["w7_alert_states"])
-def stream_alerts(spark, sf):
+def _alerts(spark, values, **options):
+    numbered = values.withColumns({"rule": F.lit("Error rate"), "t_us": F.unix_micros("t")})
     path = fresh_dir(spark, "values")
-    series._error_rate(spark, sf).withColumn("rule", F.lit("Error rate")).write.parquet(path)
-    values = spark.readStream.schema("t timestamp, value double, rule string").parquet(path)
-    out = run_once(alerts(values, 0.012, "2 hours", "1 hour"), spark, "alerts")
+    numbered.write.parquet(path)
+    held = spark.read.schema(numbered.schema).parquet(path)
+    stream = arriving(held, spark, "t_us", "values-in-order")
+    out = run_once(ST.stream_alerts(stream, 0.012, "2 hours", "1 hour", **options), spark, "alerts")
     return out.select(us("t"), "value", "state", us("since"))
 
 
+@query("st5_stream_alerts", ORACLES["w7_alert_states"])
+def stream_alerts(spark, sf):
+    return _alerts(spark, series._error_rate(spark, sf))
+
+
+@query("st5_stream_alerts_range", ORACLES["w7_alert_states_range"])
+def stream_alerts_range(spark, sf):
+    return _alerts(spark, series._gappy_rate(spark, sf), lookback="3 hours")
+
+
+_SEEN = "(SELECT epoch_ms(max(start_ts)) * 1000 - 600000000 FROM spans)"
+
+
+@query("st7_stream_error_alert", _V(["spans"], series._STATES,
+    totals=flows._TOTALS, f=flows._FAILED, **flows._RATES, v=flows._V_OF_RATES,
+    grid=f"SELECT unnest(generate_series((SELECT min(t_us) FROM v), {_SEEN}, {series._HOUR})) AS t_us",
+    q=series.reduced(0.0002), b=series._STREAKS))
+def stream_error_alert(spark, sf):
+    states = ST.stream_error_alert(
+        stream_of(spark, sf, "spans"), "bookapp", "1 hour", "6 hours", "1 hour", 0.0002, "2 hours",
+        lookback="3 hours", delay="10 minutes")
+    out = run_once(states, spark, "error-alert")
+    return out.select(us("t"), F.round("value", 9).alias("value"), "state", us("since"))
+
+
 @query("st6_stream_logs", _V(["logs"], r"""
   SELECT 'count' AS what, epoch_us(w) AS window_us,
     coalesce(nullif(regexp_extract(name, '^(?:event\s+)?([^\s:]+):(\d+)', 1), ''), 'unspecified_file_path') AS file_path, count(*) AS logs

@@ -101,6 +101,58 @@ def match_routes(spark, sf):
     return out.select("request_id", F.col("rule.id").alias("rule_id"))
 
 
+_TABLE = {
+    "id": "o_orderkey",
+    "http_method": "'M' || CAST(o_custkey % 50 AS STRING)",
+    "endpoint_pattern": (
+        "CASE o_orderkey % 8 WHEN 0 THEN '/books/' || CAST(o_custkey % 40 AS STRING) WHEN 1 THEN '/books/{id}' "
+        "WHEN 2 THEN '/books/{id}/pages/{page}' WHEN 3 THEN '/books/' || CAST(o_custkey % 40 AS STRING) || '/pages/{page}' "
+        "WHEN 4 THEN '/{area}/' || CAST(o_custkey % 7 AS STRING) WHEN 5 THEN '/files/{*rest}' WHEN 6 THEN '/files/{name}' "
+        "ELSE CASE WHEN o_orderkey % 96 = 7 THEN '/{*all}' END END"
+    ),
+}
+_ASKED = {
+    "request_id": "event_id",
+    "method": "'M' || CAST(event_id % 50 AS STRING)",
+    "path": (
+        "CASE event_id % 6 WHEN 0 THEN '/books/' || CAST(user_id % 60 AS STRING) "
+        "WHEN 1 THEN '/books/' || CAST(user_id % 60 AS STRING) || '/pages/' || CAST(user_id % 3 AS STRING) "
+        "WHEN 2 THEN '/files/a' WHEN 3 THEN '/files/a/' || CAST(user_id % 5 AS STRING) "
+        "WHEN 4 THEN '/area/' || CAST(user_id % 9 AS STRING) ELSE '/' END"
+    ),
+}
+_columns = lambda columns: ", ".join(f"{e} AS {c}" for c, e in columns.items())
+_DIGITS = "CASE WHEN s LIKE '{*%}' THEN '2' WHEN s LIKE '{%}' THEN '1' ELSE '0' END"
+
+
+@query("j2_match_rule_table", with_views([], """
+  SELECT a.request_id, w.rule_id FROM asked a LEFT JOIN w USING (method, path)""",
+    rules=f"SELECT {_columns(_TABLE)} FROM orders",
+    asked=f"SELECT {_columns(_ASKED)} FROM events",
+    parsed=f"""SELECT id, http_method AS method, list_transform(string_split(endpoint_pattern, '/'), lambda s: {_DIGITS}) AS kinds,
+      list_transform(string_split(endpoint_pattern, '/'), lambda s: CASE WHEN s LIKE '{{%}}' THEN '' ELSE s END) AS texts
+      FROM rules WHERE endpoint_pattern IS NOT NULL""",
+    leaves="SELECT method, kinds, texts, min(id) AS id FROM parsed GROUP BY ALL",
+    nodes="""SELECT method, id, kinds[i] AS kind, kinds[1:i - 1] AS above, texts[1:i - 1] AS words FROM
+      (SELECT *, unnest(range(1, len(kinds) + 1)) AS i FROM leaves) WHERE kinds[i] <> '0'""",
+    claims="SELECT method, above, words, arg_min(kind, id) AS claim FROM nodes GROUP BY ALL",
+    kept="""SELECT * FROM leaves WHERE id NOT IN
+      (SELECT id FROM nodes JOIN claims USING (method, above, words) WHERE kind <> claim)""",
+    paths="SELECT DISTINCT method, path, string_split(path, '/') AS parts FROM asked",
+    met="""SELECT p.method, path, array_to_string(kinds, '') AS place, id FROM paths p JOIN kept k ON p.method = k.method
+      AND (len(parts) = len(kinds) OR (kinds[-1] = '2' AND len(parts) > len(kinds)))
+      WHERE list_bool_and(list_transform(range(1, len(kinds) + 1), lambda i: CASE kinds[i] WHEN '0' THEN parts[i] = texts[i]
+        WHEN '1' THEN parts[i] <> '' ELSE len(parts) > len(kinds) OR parts[i] <> '' END))""",
+    w="SELECT method, path, arg_min(id, place) AS rule_id FROM met GROUP BY ALL"))
+def match_rule_table(spark, sf):
+    """Rules of 50 methods from a table, among them parameters and rests at the same place."""
+    some = {"error_rate": "0.5D", "error_code": "500", "error_message": "'m'"}
+    pick = lambda name, columns: table(spark, sf, name).select(
+        *[F.expr(e).alias(c) for c, e in columns.items()])
+    out = RT.match_routes(pick("events", _ASKED), pick("orders", _TABLE | some))
+    return out.select("request_id", F.col("rule.id").alias("rule_id"))
+
+
 @query("j3_inject_errors", _V(["requests", "configs"], """
   SELECT w.request_id, coalesce(draw < c.error_rate, false) AS injected,
     CASE WHEN draw < c.error_rate THEN c.error_code END AS status,

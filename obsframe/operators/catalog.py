@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsframe import fixed
 from obsframe.functions.scalars import json_value, status_to_db
-from obsframe.operators.ordered import chunk_index, join_per_chunk, row_rank
+from obsframe.operators.ordered import even_chunks, join_per_chunk, range_rank
 
 _ACCEPTED = 200
 _MALFORMED = 400
@@ -128,7 +128,7 @@ def apply_changes(
     table: DataFrame,
     changes: DataFrame,
     force_status: str | None = None,
-    rank_width: int = 100_000,
+    pieces: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply an ordered batch of insert, update and delete rows to a keyed table.
 
@@ -137,6 +137,9 @@ def apply_changes(
     that was there before it and is not deleted yet; otherwise it affects 0 rows.
     Returns the new table and the report (seq, op, id, rows_affected).
 
+    The numbers of ``seq`` may be sparse or crowded: inserts are ranked by sampled ranges
+    and written once, and the edits of a busy id are met in ``pieces`` even stretches.
+
     Per id only aggregates are needed: the first delete, and the last update of ids
     that survive.  They are combined on the map side before anything is joined by id.
     """
@@ -148,7 +151,7 @@ def apply_changes(
     changes = changes.select("seq", "op", F.col("id").cast("bigint"), "title", "author", status.alias("status"))
 
     top = table.select(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("top")).scalar()
-    inserted = row_rank(changes.filter("op = 'insert'"), "seq", rank_width, "_rank").select(
+    inserted = range_rank(changes.filter("op = 'insert'"), [F.asc("seq")], "_rank", "inserts").select(
         (F.col("_rank") + top).alias("id"),
         F.col("seq").alias("birth"),
         "title",
@@ -166,7 +169,7 @@ def apply_changes(
     # after their birth, met per stretch of seq so that one busy id is many tasks.
     old = edits.filter(F.col("id") <= top)
     new = join_per_chunk(
-        edits.filter(F.col("id") > top), ["id"], chunk_index(F.col("seq"), rank_width),
+        edits.filter(F.col("id") > top), ["id"], even_chunks(edits, "seq", pieces)("seq"),
         inserted.select("id", "birth"),
     ).filter(F.col("seq") > F.col("birth")).drop("birth")
     fate = old.unionByName(new).groupBy(F.col("id").alias("f_id")).agg(

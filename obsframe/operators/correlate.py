@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsframe.functions.bags import bag_or_empty, edit
 from obsframe.functions.scalars import hex_pad, is_valid_span_context, micros
-from obsframe.operators.ordered import chunk_index, running_sum
+from obsframe.operators.ordered import chunk_index, even_chunks, running_sum
 from obsframe.operators.series import matching, sum_by
 
 ENTRY_KINDS = ("SPAN_KIND_SERVER", "SPAN_KIND_INTERNAL")
@@ -188,20 +188,21 @@ def attach_breadcrumbs(
     seq: str = "event_id",
     level: str = "severity_text",
     keep: Sequence[str] = ("ts", "body"),
-    seq_chunk: int = 100_000,
+    pieces: int | None = None,
 ) -> DataFrame:
     """ERROR events with the last ``n`` WARN events of their scope before them.
 
     WARN events are numbered within their scope and packed into blocks of ``n``.  An
     error that follows ``c`` warnings needs at most two blocks, found by equality;
-    no task holds a whole scope.  ``seq`` is a unique integer event order.
+    no task holds a whole scope.  ``seq`` is a unique integer event order, sparse or
+    crowded: it is scanned in ``pieces`` stretches of about as many events.
     """
     name = F.upper(F.col(level))
     relevant = events.filter(name.isin("ERROR", "WARN")).withColumn(
         "_warn", (name == "WARN").cast("bigint")
     )
     numbered = running_sum(
-        relevant, [scope], [seq], chunk_index(F.col(seq), seq_chunk), "_warn", "_n"
+        relevant, [scope], [seq], even_chunks(relevant, seq, pieces)(seq), "_warn", "_n", blocked=False
     )
     crumb = F.struct(F.col(seq).alias("seq"), *[F.col(c) for c in keep])
     blocks = (

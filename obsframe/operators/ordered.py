@@ -4,11 +4,17 @@ A window ordered over a whole series puts that series into one task.  Here a gro
 is cut into chunks of its order column; each chunk is scanned on its own and what
 the chunks before it contribute is joined in from a table with one row per chunk.
 The widest task therefore holds one chunk, or one row per chunk of one group.
+
+Chunks of an order that may be sparse or crowded (sequence numbers, microseconds) are
+cut at quantiles of the rows that are there: ``even_chunks``.  There are as many as
+shuffle partitions, each with about as many rows.  Chunks of a fixed width
+(``chunk_index``) are for times of rows that were aggregated before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -29,6 +35,40 @@ def chunk_index(order: Column, width: int) -> Column:
     return div(order.cast("bigint") - F.pmod(order.cast("bigint"), F.lit(width)), width)
 
 
+def even_chunks(
+    df: DataFrame, order: str | Column, pieces: int | None = None
+) -> Callable[[str | Column], Column]:
+    """Chunk numbers that give each of ``pieces`` chunks about as many rows of ``df``.
+
+    Reads the approximate quantiles of an integer column, which is one pass over that
+    column with a sketch per task, and at most ``pieces - 1`` numbers on the driver.  The
+    function it returns numbers any value of that order, 0 for NULL.  A bound is found
+    in two steps, among every k-th and then among k, with k the root of ``pieces``.
+    """
+    if pieces is None:
+        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col(order) if isinstance(order, str) else order
+    shares = [i / pieces for i in range(1, pieces)]
+    found = df.agg(
+        F.percentile_approx(order.cast("bigint"), shares, max(10_000, 100 * pieces))
+    ).first()[0] if shares else None
+    bounds = sorted(set(found or []))
+    k = math.isqrt(len(bounds)) or 1
+    groups = [bounds[i:i + k] for i in range(0, len(bounds), k)]
+
+    def chunk(value: str | Column) -> Column:
+        if not bounds:
+            return F.lit(0).cast("bigint")
+        value = (F.col(value) if isinstance(value, str) else value).cast("bigint")
+        reached = lambda array: F.size(F.filter(array, lambda bound: bound <= value))
+        coarse = reached(F.lit([group[0] for group in groups]).cast("array<bigint>"))
+        fine = F.array(*[F.lit(group).cast("array<bigint>") for group in groups])
+        within = F.coalesce(reached(F.get(fine, coarse - 1)), F.lit(0))
+        return F.when(coarse > 0, (coarse - 1) * k + within).otherwise(0).cast("bigint")
+
+    return chunk
+
+
 def _known(chunk: Column) -> Column:
     """A chunk number that is never NULL.
 
@@ -137,13 +177,6 @@ def running_sum(
     return restore_keys(joined.drop("_chunk", "_running", "_before"), keys)
 
 
-def row_rank(df: DataFrame, order: str, width: int, out: str) -> DataFrame:
-    """1-based position of each row in a unique integer order, over the whole table."""
-    ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    ranked = running_sum(ones, [], [order], chunk_index(F.col(order), width), "_one", out)
-    return ranked.drop("_one")
-
-
 def range_rank(df: DataFrame, order: Sequence[Column], out: str, label: str = "ranks") -> DataFrame:
     """1-based position of each row in ``order``, over the whole table.
 

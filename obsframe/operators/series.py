@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from obsframe import fixed
 from obsframe.functions.bags import value_of
 from obsframe.functions.scalars import as_col, label_map, micros, seconds, series_key
-from obsframe.operators.ordered import chunk_index, fill_keys, restore_keys, running_sum
+from obsframe.operators.ordered import chunk_index, even_chunks, fill_keys, restore_keys, running_sum
 
 
 def matching(labels, matchers: Mapping[str, str]) -> Column:
@@ -34,12 +34,13 @@ def select_series(points: DataFrame, metric: str, matchers: Mapping[str, str] |
     )
 
 
-def drop_out_of_order(points: DataFrame, series: Sequence[str], arrival: str, chunk: int) -> DataFrame:
+def drop_out_of_order(
+    points: DataFrame, series: Sequence[str], arrival: str, pieces: int | None = None
+) -> DataFrame:
     """Drop points not later than every earlier arrival of their series."""
     series = list(series)
-    rows = fill_keys(points, series).withColumn(
-        "_chunk", F.coalesce(chunk_index(F.col(arrival), chunk), F.lit(0))
-    )
+    chunk = even_chunks(points, arrival, pieces)
+    rows = fill_keys(points, series).withColumn("_chunk", chunk(arrival))
     peaks = rows.groupBy(*series, "_chunk").agg(F.max("ts").alias("_peak"))
     earlier = W.partitionBy(*series).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     peaks = peaks.withColumn("_before", F.max("_peak").over(earlier)).drop("_peak")
@@ -54,19 +55,20 @@ def delta_to_cumulative(
     series: Sequence[str],
     arrival: str | None = None,
     chunk: str | float = "10 minutes",
-    arrival_chunk: int = 100_000,
+    pieces: int | None = None,
     merged: bool = False,
 ) -> DataFrame:
     """Running total of delta points per series, as (series.., ts, value).
 
     With an integer ``arrival`` column, points that arrive at or before the latest
-    time already seen in their series are dropped.  Without one, points are taken in
+    time already seen in their series are dropped; arrivals are scanned in ``pieces``
+    chunks of about as many points.  Without one, points are taken in
     time order and those of the same time are added up; ``merged`` skips that where a
     series is known to have one point per time.
     """
     series = list(series)
     if arrival is not None:
-        points = drop_out_of_order(points, series, arrival, arrival_chunk)
+        points = drop_out_of_order(points, series, arrival, pieces)
     at = F.unix_micros("ts").alias("ts_us")
     if merged:
         deltas = points.select(*series, at, F.col("value").alias("_delta"))

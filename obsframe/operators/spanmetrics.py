@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from obsframe import fixed
 from obsframe.functions.bags import value_of
 from obsframe.functions.scalars import as_col, micros
-from obsframe.operators.ordered import chunk_index, exact_quantiles, running_sum
+from obsframe.operators.ordered import chunk_index, even_chunks, exact_quantiles, running_sum
 
 CALL_KEYS = ("service_name", "name", "kind", "status_code")
 NANOS = 1_000_000_000
@@ -196,12 +196,13 @@ def http_metrics(
 
 
 def active_requests(
-    spans: DataFrame, by: Sequence[str] = ("service_name",), chunk: str | float = "10 minutes"
+    spans: DataFrame, by: Sequence[str] = ("service_name",), pieces: int | None = None
 ) -> DataFrame:
     """Spans running at each moment the number changes (a span ends before another starts).
 
     Changes at the same microsecond are added up first, and the running sum is cut
-    into time chunks, so a busy service is not one task.
+    into ``pieces`` stretches of time with about as many starts, so neither a busy
+    service nor a busy minute is one task.
     """
     by = list(by)
     start = F.unix_micros("start_ts")
@@ -219,7 +220,7 @@ def active_requests(
         .agg(F.sum("delta").alias("delta"))
     )
     running = running_sum(
-        changes, by, ["at_us"], chunk_index(F.col("at_us"), micros(chunk)), "delta", "active",
+        changes, by, ["at_us"], even_chunks(spans, start, pieces)("at_us"), "delta", "active",
         blocked=False,
     )
     return running.filter("delta <> 0").select(

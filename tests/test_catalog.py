@@ -107,7 +107,7 @@ def test_change_batches_equal_a_sequential_run(spark, seed):
         id_ = None if op == "insert" else rng.choice([3, 3, 3] + list(range(1, 70)))
         status = None if op == "insert" and rng.random() < 0.5 else rng.choice(["available", "lost"])
         changes.append((seq, op, id_, f"T{seq}", f"A{seq}", status))
-    assert applied(spark, table, changes, rank_width=16) == simulate(table, changes)
+    assert applied(spark, table, changes, pieces=7) == simulate(table, changes)
 
 
 def test_forced_status(spark):

@@ -28,7 +28,7 @@ def test_breadcrumbs_equal_brute_force(spark, seed):
     rows = [(i, rng.choice(["a", "a", "a", None, "b"]), rng.choice(["ERROR", "WARN", "WARN", "INFO"]), f"m{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "event_id bigint, scope string, severity_text string, body string").withColumn(
         "ts", F.timestamp_micros("event_id"))
-    got = {r.event_id: [c.seq for c in r.breadcrumbs] for r in C.attach_breadcrumbs(df, "scope", n=4, seq_chunk=16).collect()}
+    got = {r.event_id: [c.seq for c in r.breadcrumbs] for r in C.attach_breadcrumbs(df, "scope", n=4, pieces=9).collect()}
     want = {i: [j for j, s, lv, _ in rows if s == scope and lv == "WARN" and j < i][-4:]
             for i, scope, level, _ in rows if level == "ERROR"}
     assert got == want
@@ -159,7 +159,7 @@ def test_bounds_are_inclusive_and_exemplars_hold_the_slowest(spark):
 
 def test_active_requests(spark):
     rows = [(T1, str(i), None, "s", "n", "k", "c", a, d * 1000) for i, (a, d) in enumerate([(0, 10), (5, 10), (10, 5), (20, 0)])]
-    got = M.active_requests(spans(spark, *rows), chunk=0.000004).select(F.unix_micros("at").alias("at"), "active").collect()
+    got = M.active_requests(spans(spark, *rows), pieces=3).select(F.unix_micros("at").alias("at"), "active").collect()
     assert sorted(map(tuple, got)) == [(0, 1), (5, 2), (15, 0)]
 
 

@@ -32,10 +32,30 @@ def test_running_sum_of_earlier_rows(spark):
     assert all(r.s == r.t for r in got.collect())
 
 
-def test_row_rank(spark):
-    seqs = [5, -3, 900000, 17, 4]
-    got = R.row_rank(spark.createDataFrame([(s,) for s in seqs], "seq bigint"), "seq", 10, "r").collect()
-    assert {r.seq: r.r for r in got} == {s: i for i, s in enumerate(sorted(seqs), 1)}
+def test_even_chunks(spark):
+    rng = random.Random(3)
+    sparse = [1_700_000_000_000_000 + i * 10**9 for i in range(300)]
+    values = [*range(700), *sparse]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v bigint")
+    for pieces in (1, 2, 8, 50):
+        chunk = R.even_chunks(df, "v", pieces)
+        rows = df.select("v", chunk("v").alias("c")).collect()
+        ordered = [r.c for r in sorted((r for r in rows if r.v is not None), key=lambda r: r.v)]
+        assert ordered == sorted(ordered) and [r.c for r in rows if r.v is None] == [0]
+        sizes = [ordered.count(c) for c in range(pieces)]
+        assert sum(sizes) == 1000 and max(sizes) <= 1000 / pieces + 2
+    assert [r.c for r in df.limit(1).select(R.even_chunks(df.limit(0), "v")("v").alias("c")).collect()] == [0]
+
+
+@pytest.mark.parametrize("pieces", [1, 5, 200])
+def test_running_sum_over_even_chunks(spark, pieces):
+    rng = random.Random(pieces)
+    times = [*rng.sample(range(200), 60), *rng.sample(range(10**15, 10**15 + 10**9), 60)]
+    rows = [(k, t, rng.randint(-5, 5)) for k in ("a", "b", None) for t in times]
+    df = spark.createDataFrame(rows, "k string, t bigint, v bigint")
+    got = R.running_sum(df, ["k"], ["t"], R.even_chunks(df, "t", pieces)("t"), "v", "s", blocked=False)
+    assert sorted(((r.k, r.t, r.s) for r in got.collect()), key=str) == _brute(rows)
 
 
 def test_range_rank(spark):

@@ -86,7 +86,7 @@ def test_delta_to_cumulative_by_time_and_by_arrival(spark):
     arrived = points(spark, rows).withColumn("n", F.monotonically_increasing_id())
     arrived = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n bigint, series string, us bigint, value int").select(
         "n", "series", F.timestamp_micros("us").alias("ts"), F.col("value").cast("double"))
-    got = S.delta_to_cumulative(arrived, ["series"], arrival="n", arrival_chunk=2).select("series", F.unix_micros("ts"), "value")
+    got = S.delta_to_cumulative(arrived, ["series"], arrival="n", pieces=3).select("series", F.unix_micros("ts"), "value")
     assert sorted(map(tuple, got.collect())) == [("a", 5, 1.0), ("a", 9, 17.0), ("b", 1, 8.0)]
 
 

@@ -6,7 +6,7 @@ from obsframe import fixed
 from obsframe.operators import catalog as C
 from obsframe.operators import routes as RT
 from workload.registry import query
-from workload.views import table, view, with_views
+from workload.views import sql_of, table, view, with_views
 
 _V = with_views
 
@@ -186,6 +186,19 @@ def apply_changes(spark, sf):
     return C.apply_changes(view(spark, sf, "books"), view(spark, sf, "changes"))[0]
 
 
+#: Half of the numbers are microseconds, far apart; the others are crowded at the start.
+_SPARSE = "CASE WHEN {n} % 2 = 0 THEN 1700000000000000 + {n} * CAST(1000003 AS BIGINT) ELSE {n} END"
+_LATER = f"SELECT * REPLACE ({_SPARSE.format(n='seq')} AS seq) FROM ({sql_of('changes')})"
+
+
+@query("j9_apply_sparse_changes", _V(["books"], """
+  SELECT CAST(e.id AS BIGINT) AS id, coalesce(h.title, e.title) AS title, coalesce(h.author, e.author) AS author, e.status
+  FROM ent e LEFT JOIN hit h ON h.id = e.id AND h.rn = 1 WHERE e.id NOT IN (SELECT id FROM del_)""", changes=_LATER, **_CHANGED))
+def apply_sparse_changes(spark, sf):
+    changes = view(spark, sf, "changes").withColumn("seq", F.expr(_SPARSE.format(n="seq")))
+    return C.apply_changes(view(spark, sf, "books"), changes)[0]
+
+
 @query("j9_change_report", _V(["books", "changes"], """
   SELECT birth AS seq, 'insert' AS op, CAST(id AS BIGINT) AS id, 1 AS rows_affected FROM ins
   UNION ALL

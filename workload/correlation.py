@@ -107,11 +107,23 @@ def link_ingestion(spark, sf):
   FROM (SELECT *, list(event_id) FILTER (WHERE severity_text = 'WARN') OVER (PARTITION BY host_name ORDER BY event_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS w FROM logs) WHERE severity_text = 'ERROR'"""))
 def attach_breadcrumbs(spark, sf):
-    out = C.attach_breadcrumbs(view(spark, sf, "logs"), "host_name", n=10, seq_chunk=1000)
+    out = C.attach_breadcrumbs(view(spark, sf, "logs"), "host_name", n=10)
     return out.select("event_id", "host_name", F.array_join(
         F.transform("breadcrumbs", lambda c: c["seq"].cast("string")), ",").alias("crumbs"))
 
 
+@query("w8_breadcrumbs_of_sparse_events", _V(["logs"], """
+  SELECT seq, host_name, coalesce(array_to_string(list_slice(w, greatest(len(w) - 9, 1), len(w)), ','), '') AS crumbs
+  FROM (SELECT *, list(seq) FILTER (WHERE severity_text = 'WARN') OVER (PARTITION BY host_name ORDER BY seq
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS w FROM s) WHERE severity_text = 'ERROR'""",
+    s="SELECT *, CASE WHEN event_id % 3 = 0 THEN epoch_us(ts) * 100 + event_id % 97 ELSE event_id END AS seq FROM logs"))
+def breadcrumbs_of_sparse_events(spark, sf):
+    seq = F.expr("CASE WHEN event_id % 3 = 0 THEN unix_micros(ts) * 100 + event_id % 97 ELSE event_id END")
+    out = C.attach_breadcrumbs(view(spark, sf, "logs").withColumn("seq", seq), "host_name", n=10, seq="seq")
+    return out.select("seq", "host_name", F.array_join(
+        F.transform("breadcrumbs", lambda c: c["seq"].cast("string")), ",").alias("crumbs"))
+
+
 @query("w8_breadcrumb_count", _V(["logs"], """
   SELECT event_id, CAST(least(coalesce(count(*) FILTER (WHERE severity_text = 'WARN') OVER (PARTITION BY service_name
     ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 100) AS INT) AS crumbs

@@ -48,7 +48,7 @@ def delta_out_of_order(spark, sf):
     late = table(spark, sf, "events").select(
         F.col("event_type").alias("series"), "event_id", (F.col("event_id") % 10).cast("double").alias("value"),
         F.expr("CASE WHEN event_id % 9 = 0 THEN ts - INTERVAL 12 HOUR ELSE ts END").alias("ts"))
-    out = S.delta_to_cumulative(late, ["series"], arrival="event_id", arrival_chunk=1000)
+    out = S.delta_to_cumulative(late, ["series"], arrival="event_id")
     return out.select("series", us("ts"), "value")
 
 

@@ -26,6 +26,8 @@ from obsframe.functions.scalars import div
 _FAN_OUT = 4096
 #: ``monotonically_increasing_id`` numbers the rows of a task in its lower bits.
 _RANGE_BITS = 33
+#: Quantile sketches are right to one rank in so many.
+_ACCURACY = 10_000
 _MISSING_TEXT = "\x00missing"
 _MISSING_INT = -(2**63)
 
@@ -213,6 +215,60 @@ def range_rank(df: DataFrame, order: Sequence[Column], out: str, label: str = "r
     )
 
 
+def bracketed_counts(
+    df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], accuracy: int = _ACCURACY
+) -> DataFrame:
+    """How often each value occurs that may be a wanted quantile: (keys, _v, _side, _n).
+
+    A quantile sketch per key, merged from one per task, gives each wanted rank a lower
+    and an upper bound that differ by a few times ``1 / accuracy`` of the key's rows.
+    Only values between bounds are counted apart (``_side`` 0).  All others are added up
+    by the bounds they lie between, as rows after a bound (``_side`` 1) or before the
+    first (``_side`` -1), before anything is shuffled.
+
+    The bounds are written once, a row per key, so Spark knows their size: small ones
+    are broadcast, and only with very many keys do rows meet them by a shuffle.
+    """
+    from obsframe.plans.session import written_once  # plans are made of operators
+
+    keys = list(keys)
+    rows = fill_keys(df.filter(F.col(value).isNotNull()), keys).select(
+        *keys, F.col(value).cast("bigint").alias("_v")
+    )
+    margin = 3 / accuracy
+    ends = [(max(q - margin, 0.0), min(q + margin, 1.0)) for q in map(float, qs)]
+    sketch = F.percentile_approx("_v", [e for pair in ends for e in pair], accuracy)
+    # ranks at the ends of all rows are exact only as the minimum and the maximum
+    aggregates = [sketch.alias("_at"), F.min("_v").alias("_least"), F.max("_v").alias("_most")]
+    sketched = rows.groupBy(*keys).agg(*aggregates)
+    low = [F.col("_least") if a == 0 else F.get("_at", F.lit(2 * i)) for i, (a, _) in enumerate(ends)]
+    high = [F.col("_most") if b == 1 else F.get("_at", F.lit(2 * i + 1)) for i, (_, b) in enumerate(ends)]
+    names = [f"_{side}{i}" for i in range(len(ends)) for side in ("low", "high")]
+    bounds = written_once(
+        sketched.select(*keys, *[c.alias(n) for n, c in zip(names, [c for pair in zip(low, high) for c in pair])]),
+        "quantile-bounds",
+    )
+    if keys:
+        met = _join_on(rows, bounds, keys)
+    else:
+        met = rows.withColumns({n: bounds.select(n).scalar() for n in names})
+    v, pairs = F.col("_v"), range(len(ends))
+    inside = F.lit(False)
+    for i in pairs:
+        inside = inside | v.between(F.col(f"_low{i}"), F.col(f"_high{i}"))
+    below = F.greatest(*[F.when(F.col(f"_high{i}") < v, F.col(f"_high{i}")) for i in pairs], F.lit(None).cast("bigint"))
+    first = F.least(*[F.col(f"_low{i}") for i in pairs], F.lit(None).cast("bigint"))
+    return (
+        met.select(
+            *keys,
+            F.when(inside, v).otherwise(F.coalesce(below, first)).alias("_v"),
+            F.when(inside, 0).when(below.isNull(), -1).otherwise(1).alias("_side"),
+        )
+        .groupBy(*keys, "_v", "_side")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -220,20 +276,20 @@ def exact_quantiles(
     qs: Sequence[float],
     names: Sequence[str],
     width: int = 1_000_000,
+    accuracy: int = _ACCURACY,
 ) -> DataFrame:
     """Nearest-rank quantiles of an integer column per key, exact and distributed.
 
-    Equal values are counted first.  The counts are cut into chunks of ``width``
-    values, the chunk holding each wanted rank is found from the chunk totals, and
+    A sketch brackets each wanted rank; what is shuffled and ordered are counts of the
+    values inside the brackets, and the sums of all others.  These are cut into chunks
+    of ``width`` values, the chunk holding each rank is found from the chunk totals, and
     only those chunks are scanned.  A task sees at most ``width`` distinct values of a
-    group, or its chunk totals, of which there are the value range over ``width``.
+    group, or its chunk totals.  A rank outside its bracket, which the sketch's bound
+    excludes, is an error and never a wrong value.
     """
     keys = list(keys)
-    counts = (
-        fill_keys(df.filter(F.col(value).isNotNull()), keys)
-        .groupBy(*keys, F.col(value).cast("bigint").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", _known(chunk_index(F.col("_v"), width)))
+    counts = bracketed_counts(df, keys, value, qs, accuracy).withColumn(
+        "_chunk", _known(chunk_index(F.col("_v"), width))
     )
     totals = counts.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_chunk_n"))
     before = totals_before(totals, keys, "_chunk", "_chunk_n", "_before", blocked=False).withColumn(
@@ -258,7 +314,7 @@ def exact_quantiles(
     scanned = counts.join(
         renamed, [counts[k] == renamed[f"_r_{k}"] for k in [*keys, "_chunk"]], "inner"
     ).drop(*[f"_r_{k}" for k in [*keys, "_chunk"]])
-    inside = W.partitionBy(*keys, "_chunk").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*keys, "_chunk").orderBy("_v", "_side").rowsBetween(W.unboundedPreceding, 0)
     scanned = scanned.withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
     hit = lambda i: F.exists(
         "_ranks",
@@ -266,7 +322,10 @@ def exact_quantiles(
         & (w["rank"] <= F.col("_upto"))
         & (w["rank"] > F.col("_upto") - F.col("_n")),
     )
+    found = F.when(F.col("_side") == 0, F.col("_v")).otherwise(
+        F.raise_error(F.lit("a rank lies outside its bracket")).cast("bigint")
+    )
     out = scanned.groupBy(*keys).agg(
-        *[F.max(F.when(hit(i), F.col("_v"))).alias(name) for i, name in enumerate(names)]
+        *[F.max(F.when(hit(i), found)).alias(name) for i, name in enumerate(names)]
     )
     return restore_keys(out, keys)

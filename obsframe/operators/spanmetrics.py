@@ -30,11 +30,22 @@ def bucket_counts(duration: Column, bounds: Sequence[float], prefix: str = "") -
     cols = [
         F.count_if(duration <= b).alias(f"{prefix}_b{i}") for i, b in enumerate(bound_nanos(bounds))
     ]
-    # A DOUBLE sum: nanoseconds of many spans overflow BIGINT.
-    total = F.coalesce(F.sum(duration.cast("double")), F.lit(0.0))
+    total = F.coalesce(exact_sum(duration), F.lit(0)).cast("double")
     return [*cols, F.count(duration).alias(f"{prefix}_count"), total.alias(f"{prefix}_sum_ns")]
 
 
+def exact_sum(value: Column) -> Column:
+    """Aggregate: DECIMAL sum of a BIGINT column, the same in any order of rows.
+
+    Nanoseconds of many spans overflow BIGINT, and a DOUBLE sum depends on task order
+    above 2^53.  The upper and lower 32 bits are summed apart, as BIGINT.
+    """
+    value = value.cast("bigint")
+    upper = F.sum(F.shiftright(value, 32)).cast("decimal(38,0)")
+    lower = F.sum(value.bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(38,0)")
+    return upper * F.lit(1 << 32).cast("decimal(10,0)") + lower
+
+
 def bucket_rows(agg: DataFrame, keys: Sequence[str], bounds: Sequence[float]) -> DataFrame:
     """One row per key and bound (``le``, +Inf last) with the cumulative count."""
     rows = [
@@ -98,7 +109,7 @@ def red_summary(
     base = [
         F.count(F.lit(1)).alias("calls"),
         F.count_if(F.col("status_code") == "STATUS_CODE_ERROR").alias("errors"),
-        F.avg("duration_ns").alias("avg_ns"),
+        (exact_sum(F.col("duration_ns")).cast("double") / F.count("duration_ns")).alias("avg_ns"),
     ]
     if accuracy is not None:
         base += [

@@ -87,6 +87,35 @@ def test_exact_quantiles(spark, width):
     assert len(out) == 3
 
 
+def test_only_bracketed_values_are_shuffled(spark):
+    rows = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 2 = 0 THEN 'cold' END as k", "xxhash64(id) as v")
+    counts = R.bracketed_counts(rows, ["k"], "v", [0.5, 0.99], accuracy=1000).collect()
+    assert sum(r._n for r in counts) == 200_000
+    assert len(counts) < 200_000 * 2 * 8 / 1000  # of as many distinct values
+    text = R.bracketed_counts(rows, ["k"], "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_count" in text.split("Exchange hashpartitioning")[1]
+    got = {r.k: (r.a, r.b) for r in R.exact_quantiles(rows, ["k"], "v", [0.5, 0.99], ["a", "b"], 2**52, accuracy=1000).collect()}
+    by_key = {}
+    for r in rows.collect():
+        by_key.setdefault(r.k, []).append(r.v)
+    for k, values in by_key.items():
+        values.sort()
+        assert got[k] == tuple(values[int(np.ceil(q * len(values))) - 1] for q in (0.5, 0.99))
+
+
+@pytest.mark.parametrize("qs", [[0.0, 1.0], [0.001, 0.999, 0.5]])
+def test_quantiles_of_large_groups_with_ties(spark, qs):
+    rows = spark.range(60_000).selectExpr("id % 2 as k", "CASE WHEN id % 5 < 2 THEN 7 ELSE id * id % 100003 END as v")
+    names = [f"q{i}" for i in range(len(qs))]
+    got = {r.k: [r[n] for n in names] for r in R.exact_quantiles(rows, ["k"], "v", qs, names, accuracy=200).collect()}
+    for k in (0, 1):
+        values = sorted(r.v for r in rows.filter(F.col("k") == k).collect())
+        assert got[k] == [values[max(int(np.ceil(q * len(values))), 1) - 1] for q in qs]
+    one = R.exact_quantiles(rows.filter("k = 0"), [], "v", qs, names, accuracy=200).first()
+    assert [one[n] for n in names] == got[0]
+
+
 def test_exact_quantiles_without_keys(spark):
     out = R.exact_quantiles(spark.range(101), [], "id", [0.5], ["m"]).collect()
     assert [r.m for r in out] == [50]

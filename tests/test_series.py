@@ -146,3 +146,12 @@ def test_alert_rules_are_separate(spark):
     df = spark.createDataFrame([("a", 0, 11.0), ("a", 60 * SEC, 11.0), ("b", 60 * SEC, 11.0)], "rule string, us bigint, value double")
     got = alert_states(df.withColumn("t", F.timestamp_micros("us")), ["rule"], threshold=10).collect()
     assert sorted((r.rule, r.state) for r in got) == [("a", "Alerting"), ("a", "Pending"), ("b", "Pending")]
+
+
+def test_sums_do_not_depend_on_order(spark):
+    from obsframe.operators.spanmetrics import exact_sum
+
+    values = [2**62, -(2**62) + 1, 2**63 - 1, -(2**63), 2**53 + 1, 1, -1, 2**63 - 1, 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v bigint").repartition(4)
+    assert int(df.agg(exact_sum(F.col("v"))).first()[0]) == sum(values)
+    assert df.filter("v is null").agg(exact_sum(F.col("v"))).first()[0] is None

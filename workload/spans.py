@@ -84,6 +84,20 @@ def red_summary(spark, sf):
     return M.red_summary(_spans(spark, sf))
 
 
+@query("a4_red_summary_approx", _V(["spans"], """
+  SELECT DISTINCT service_name, name, TRUE AS p50_in_bound, TRUE AS p99_in_bound FROM spans"""))
+def red_summary_approx(spark, sf):
+    """Whether approximate quantiles are within their bound: a thousandth of the rows, in rank."""
+    spans, accuracy, keys = _spans(spark, sf), 1000, ["service_name", "name"]
+    found = M.red_summary(spans, keys, (0.5, 0.99), accuracy)
+    within = []
+    for q, name in ((0.5, "p50"), (0.99, "p99")):
+        below, upto = (F.count_if(F.col("duration_ns") < F.col(f"{name}_ns")), F.count_if(F.col("duration_ns") <= F.col(f"{name}_ns")))
+        slack = F.greatest(F.count(F.lit(1)) / accuracy, F.lit(1))
+        within.append(((below <= q * F.count(F.lit(1)) + slack) & (upto >= q * F.count(F.lit(1)) - slack)).alias(f"{name}_in_bound"))
+    return spans.select(*keys, "duration_ns").join(found.select(*keys, "p50_ns", "p99_ns"), keys).groupBy(*keys).agg(*within)
+
+
 @query("a5_log_count", _V(["logs"], r"""
   SELECT coalesce(nullif(regexp_extract(name, '^(?:event\s+)?([^\s:]+):(\d+)', 1), ''), 'unspecified_file_path') AS file_path,
     count(*) AS logs FROM logs GROUP BY 1"""))

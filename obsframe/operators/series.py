@@ -6,7 +6,6 @@ pre-aggregated to (series, time) or (series, step) before anything is ordered.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -81,23 +80,25 @@ def delta_to_cumulative(
     return out.select(*series, F.timestamp_micros("ts_us").alias("ts"), "value")
 
 
-def _step_buckets(points: DataFrame, series: Sequence[str], width: int) -> DataFrame:
-    """Per series and bucket ``(start, end]``: first, last, count and reset losses.
+def _panes(points: DataFrame, series: Sequence[str], window: int, step: int) -> DataFrame:
+    """Per series and pane: first, last, count and reset losses.
 
-    The only ordered scan of raw points, and it is over one bucket of one series.
+    Windows of a step grid begin and end at two places of a step at most; a pane is what
+    lies between, ``(.., end]``, so there are two panes a step whatever the window.  The
+    only ordered scan of raw points, and it is over one pane of one series.
     """
     us = F.unix_micros("ts")
     rows = fill_keys(points, series).select(
-        *series,
-        us.alias("us"),
-        F.col("value").cast("double").alias("v"),
-        (chunk_index(us - 1, width) + 1).alias("bucket"),
+        *series, us.alias("us"), F.col("value").cast("double").alias("v")
     ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    order = W.partitionBy(*series, "bucket").orderBy("us")
-    prev = F.lag("v").over(order)
+    end, cut = _on_grid(F.col("us"), step), window % step
+    if cut:
+        end = F.when(F.col("us") <= end - cut, end - cut).otherwise(end)
+    rows = rows.withColumn("end", end)
+    prev = F.lag("v").over(W.partitionBy(*series, "end").orderBy("us"))
     return (
         rows.withColumn("lost", F.when(F.col("v") < prev, prev).otherwise(0.0))
-        .groupBy(*series, "bucket")
+        .groupBy(*series, "end")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("us").alias("first_us"),
@@ -109,45 +110,73 @@ def _step_buckets(points: DataFrame, series: Sequence[str], width: int) -> DataF
     )
 
 
+def _on_grid(us: Column, step: int) -> Column:
+    """The first time of the step grid that is not before ``us``."""
+    return us + F.pmod(-us, F.lit(step))
+
+
 def increases(
     points: DataFrame, series: Sequence[str], window: str | float, step: str | float
 ) -> DataFrame:
     """Reset-aware increase of each series in ``(t - window, t]`` on a step grid.
 
-    Points are reduced to step buckets first; only buckets are spread over the
-    windows that cover them, so raw points are never multiplied.
+    Points are reduced to panes, and running sums over the panes of a series make each
+    counter one that never resets.  A window's increase is then a difference between
+    its last and its first pane.  A pane is the last one of the windows up to the next
+    pane, and the first one of those that the pane before has left; so each window gets
+    two rows, however many panes it covers, and they meet without another shuffle.
     """
     series = list(series)
     w, s = micros(window), micros(step)
-    width = math.gcd(w, s)
-    buckets = _step_buckets(points, series, width)
-    in_order = W.partitionBy(*series).orderBy("bucket")
+    in_order = W.partitionBy(*series).orderBy("end")
+    so_far = in_order.rowsBetween(W.unboundedPreceding, 0)
     before = F.lag("last_v").over(in_order)
-    buckets = buckets.withColumn(
-        "lost_between", F.when(F.col("first_v") < before, before).otherwise(0.0)
+    panes = (
+        _panes(points, series, w, s)
+        .withColumns({
+            "gap": F.when(F.col("first_v") < before, before).otherwise(0.0),
+            "earlier": F.lag("end").over(in_order),
+            "later": F.lead("end").over(in_order),
+        })
+        .withColumns({
+            "losses": F.sum(F.col("gap") + F.col("lost")).over(so_far),
+            "points": F.sum("n").over(so_far),
+        })
+    )
+    start, final = _on_grid(F.col("end"), s), F.col("end") + w - 1
+    left = _on_grid(F.col("earlier") + w, s)
+    last_of = (start, F.least(final, _on_grid(F.col("later"), s) - s))
+    first_of = (F.greatest(start, left), final)
+
+    def windows(span: tuple[Column, Column], **state: Column) -> Column:
+        grid = F.when(span[0] <= span[1], F.sequence(*span, F.lit(s).cast("bigint")))
+        fields = ("first_us", "first_v", "last_us", "last_v", "raised", "counted")
+        kinds = {"first_us": "bigint", "last_us": "bigint", "counted": "bigint"}
+        values = [
+            state.get(f, F.lit(None)).cast(kinds.get(f, "double")).alias(f) for f in fields
+        ]
+        rows = F.transform(grid, lambda t: F.struct(t.alias("t_us"), *values))
+        return F.coalesce(rows, F.array().cast(
+            "array<struct<t_us:bigint,first_us:bigint,first_v:double,last_us:bigint,last_v:double,"
+            "raised:double,counted:bigint>>"))
+
+    as_last = windows(
+        last_of, last_us=F.col("last_us"), last_v=F.col("last_v"),
+        raised=F.col("last_v") + F.col("losses"), counted=F.col("points"),
     )
-    end = F.col("bucket") * width
-    first_grid = end + F.pmod(-end, F.lit(s))
-    spread = (
-        buckets.withColumn("_first", first_grid)
-        .withColumn("_last", end + w - 1)
-        .filter("_first <= _last")
-        .withColumn("t_us", F.explode(F.sequence("_first", "_last", F.lit(s).cast("bigint"))))
+    as_first = windows(
+        first_of, first_us=F.col("first_us"), first_v=F.col("first_v"),
+        raised=-(F.col("first_v") + F.col("losses") - F.col("lost")), counted=F.col("n") - F.col("points"),
     )
     out = (
-        spread.groupBy(*series, "t_us")
+        panes.select(*series, F.inline(F.concat(as_last, as_first)))
+        .groupBy(*series, "t_us")
         .agg(
-            F.sum("n").alias("n"),
-            F.min("first_us").alias("first_us"),
-            F.max("last_us").alias("last_us"),
-            F.min_by("first_v", "bucket").alias("first_v"),
-            F.max_by("last_v", "bucket").alias("last_v"),
-            (
-                F.sum("lost") + F.sum("lost_between") - F.min_by("lost_between", "bucket")
-            ).alias("lost"),
+            F.sum("counted").alias("n"),
+            *[F.max(c).alias(c) for c in ("first_us", "last_us", "first_v", "last_v")],
+            F.sum("raised").alias("increase"),
         )
         .filter("n >= 2")
-        .withColumn("increase", F.col("last_v") - F.col("first_v") + F.col("lost"))
     )
     return restore_keys(out, series)
 

@@ -63,6 +63,13 @@ def rate_uneven_step(spark, sf):
     return S.rate(view(spark, sf, "points"), ["series"], "50 minutes", "70 minutes").select("series", us("t"), "rate")
 
 
+@query("w2_rate_70s_every_60s", _V(["points"], "SELECT span_kind, t_us, inc / 70.0 AS rate FROM r",
+    **_rate_ctes("points", "span_kind", 70_000_000, 60_000_000)))
+def rate_70s_every_60s(spark, sf):
+    """A window that is no multiple of its step, as a panel's rate interval is."""
+    return S.rate(view(spark, sf, "points"), ["span_kind"], S.rate_interval(60, 10), 60).select("span_kind", us("t"), "rate")
+
+
 _EDGE = """CASE WHEN {d} >= 1.1 * avg_gap THEN avg_gap / 2 ELSE {d} END"""
 
 

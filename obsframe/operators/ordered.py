@@ -96,7 +96,10 @@ def _marker(df: DataFrame, key: str) -> Column:
         return F.lit(_MISSING_TEXT)
     if isinstance(dtype, T.LongType):
         return F.lit(_MISSING_INT)
-    raise TypeError(f"key {key} must be STRING or BIGINT, not {dtype.simpleString()}")
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        entry = F.struct(F.lit(_MISSING_TEXT).alias("key"), F.lit("").alias("value"))
+        return F.array(entry).cast(dtype)
+    raise TypeError(f"key {key} must be STRING, BIGINT or label entries, not {dtype.simpleString()}")
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Time series over metric points: accumulation, rates, heatmaps, instant values.
 
-``series`` names the STRING columns that identify a series.  Points are
+``series`` names the STRING columns, or label entries, that identify a series.  Points are
 pre-aggregated to (series, time) or (series, step) before anything is ordered.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from obsframe import fixed
 from obsframe.functions.bags import value_of
-from obsframe.functions.scalars import as_col, label_map, micros, seconds, series_key
+from obsframe.functions.scalars import as_col, label_map, micros, seconds, series_entries, series_key
 from obsframe.operators.ordered import chunk_index, even_chunks, fill_keys, restore_keys, running_sum
 
 
@@ -227,7 +227,10 @@ def error_rate(
     metric: str = fixed.CALLS_METRIC,
 ) -> DataFrame:
     """Summed rate of a service's failed calls, as (t, value)."""
-    failed = select_series(points, metric, {"status_code": "STATUS_CODE_ERROR", "service": service})
+    wanted = {"status_code": "STATUS_CODE_ERROR", "service": service}
+    failed = points.filter((F.col("metric") == metric) & matching("labels", wanted)).withColumn(
+        "series", series_entries("labels")
+    )
     return rate(failed, ["series"], window, step, mode).groupBy("t").agg(F.sum("rate").alias("value"))
 
 
@@ -247,11 +250,12 @@ def latency_heatmap(
     """
     buckets = points.filter((F.col("metric") == metric) & matching("labels", {"server": server}))
     buckets = buckets.withColumns({
-        "series": series_key(F.map_filter("labels", lambda k, _: k != "le")),
+        "series": series_entries(F.map_filter("labels", lambda k, _: k != "le")),
         "le": value_of("labels", "le"),
     })
     rates = rate(buckets, ["series", "le"], window, step, mode)
-    return heatmap_cells(rates.withColumn("le", bound_number("le")), ["series"], hide_below)
+    cells = heatmap_cells(rates.withColumn("le", bound_number("le")), ["series"], hide_below)
+    return cells.withColumn("series", F.to_json("series"))
 
 
 def heatmap_cells(

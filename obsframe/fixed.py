@@ -18,6 +18,9 @@ LOG_COUNT_METRIC = "bt_service_log_count"
 SPAN_EVENT_COUNT_METRIC = "bt.span.event.count"
 SQL_BOOKS_METRIC = "bt.sql_books_count"
 
+# -- fixed values: attribute of the link from a consumed message to its producer ---
+LINK_ATTRIBUTE = ("somekey", "somevalue")
+
 # -- fixed values: histogram bounds in seconds, upper bound inclusive ---------
 SPAN_BOUNDS = (0.002, 0.004, 0.008, 0.016, 0.032, 0.064, 0.128, 0.256, 0.512, 1.02, 2.05, 4.10)
 EDGE_BOUNDS = (0.1, 0.2, 0.4, 0.8, 1.6, 3.2, 6.4, 12.8)

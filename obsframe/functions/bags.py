@@ -71,17 +71,19 @@ def put_if_absent(bag, key: str, value) -> Column:
 
 def kv_to_map(kvs) -> Column:
     """Key-value list to a map; text wins over int, the last of equal keys wins."""
-    kvs = F.filter(as_col(kvs), lambda e: e["key"].isNotNull())
-    n = F.size(kvs)
-    last = F.filter(
-        kvs,
-        lambda e, i: ~F.exists(F.slice(kvs, i + 2, n), lambda later: later["key"] == e["key"]),
+    entry = lambda e, i: F.named_struct(
+        F.lit("key"), e["key"],
+        F.lit("place"), i,
+        F.lit("value"), F.coalesce(e["value"]["stringValue"], e["value"]["intValue"]),
     )
-    pairs = F.transform(
-        last,
-        lambda e: F.struct(
-            e["key"].alias("key"),
-            F.coalesce(e["value"]["stringValue"], e["value"]["intValue"]).alias("value"),
-        ),
+    # In order of key and place, an entry counts if the next one has another key.
+    in_order = F.sort_array(F.transform(F.filter(as_col(kvs), lambda e: e["key"].isNotNull()), entry))
+    after = F.slice(in_order, 2, F.greatest(F.size(in_order), F.lit(1)))
+    pairs = F.zip_with(
+        in_order,
+        after,
+        lambda e, later: F.when(
+            e["key"].eqNullSafe(later["key"]), F.lit(None)
+        ).otherwise(F.named_struct(F.lit("key"), e["key"], F.lit("value"), e["value"])),
     )
-    return F.coalesce(F.map_from_entries(pairs), empty_bag())
+    return F.coalesce(F.map_from_entries(F.array_compact(pairs)), empty_bag())

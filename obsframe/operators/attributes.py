@@ -59,36 +59,47 @@ def promote_labels(points: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return points.withColumn("labels", bags.edit("labels", found))
 
 
-def process_logs(logs: DataFrame) -> DataFrame:
+def process_logs(
+    logs: DataFrame,
+    marker: tuple[str, str] = (fixed.LOG_RESOURCE_KEY, fixed.LOG_RESOURCE_VALUE),
+    pattern: str = fixed.LOG_LOCATION_PATTERN,
+    location: tuple[str, str] = fixed.LOG_LOCATION_KEYS,
+    host: tuple[str, str] = ("host.name", "container_id"),
+    level: str = "level",
+    name: tuple[str, str] = ("name", "name-copied"),
+) -> DataFrame:
     """The whole log rewrite, each bag rebuilt once.
 
     Same result as the single steps in order: insert the resource marker; container
     id from the host name, which is deleted; level from the severity; file path and
     line number from ``name``; the line as integer text; ``name`` copied and deleted.
+
+    ``pattern`` has a group for the path and one for the line, which ``location``
+    names; ``host`` and ``name`` are the key that is read and the one that keeps it.
     """
-    path_key, line_key = fixed.LOG_LOCATION_KEYS
-    marked = bags.has("resource", fixed.LOG_RESOURCE_KEY)
+    path_key, line_key = location
+    marked = bags.has("resource", marker[0])
     read = logs.withColumns({
-        "_host": bags.value_of("resource", "host.name"),
-        "_name": bags.value_of("attributes", "name"),
+        "_host": bags.value_of("resource", host[0]),
+        "_name": bags.value_of("attributes", name[0]),
         "_line": bags.value_of("attributes", line_key),
-        "_marker": F.when(~marked, F.lit(fixed.LOG_RESOURCE_VALUE)),
+        "_marker": F.when(~marked, F.lit(marker[1])),
     })
     # Both groups of the pattern are non-empty where it matches.
     found = read.withColumns({
-        "_path": F.nullif(F.regexp_extract("_name", fixed.LOG_LOCATION_PATTERN, 1), F.lit("")),
+        "_path": F.nullif(F.regexp_extract("_name", pattern, 1), F.lit("")),
         "_line": F.coalesce(
-            F.nullif(F.regexp_extract("_name", fixed.LOG_LOCATION_PATTERN, 2), F.lit("")), "_line"
+            F.nullif(F.regexp_extract("_name", pattern, 2), F.lit("")), "_line"
         ),
     })
     line = F.coalesce(F.col("_line").try_cast("bigint").cast("string"), "_line")
     resource = bags.edit(
-        "resource", {fixed.LOG_RESOURCE_KEY: "_marker", "container_id": "_host"}, ["host.name"]
+        "resource", {marker[0]: "_marker", host[1]: "_host"}, [host[0]]
     )
     attributes = bags.edit(
         "attributes",
-        {"level": "severity_text", path_key: "_path", line_key: "_line", "name-copied": "_name"},
-        ["name"],
+        {level: "severity_text", path_key: "_path", line_key: "_line", name[1]: "_name"},
+        [name[0]],
     )
     return (
         found.withColumn("_line", line)

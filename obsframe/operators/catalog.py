@@ -80,12 +80,15 @@ def check_configs(configs: DataFrame) -> DataFrame:
     ]
     rules.append(("error_rate out of range", ~F.col("error_rate").between(0.0, 1.0)))
     rules.append(("error_code out of range", ~F.col("error_code").between(400, 599)))
+    # Rows without a full pair repeat nothing and stay out of the join.
+    has_pair = F.col("endpoint_pattern").isNotNull() & F.col("http_method").isNotNull()
+    paired, rest = configs.filter(has_pair), configs.filter(~has_pair)
     repeated = (
-        configs.groupBy("endpoint_pattern", "http_method")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1 and endpoint_pattern is not null and http_method is not null")
+        paired.groupBy("endpoint_pattern", "http_method").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    )
+    joined = paired.join(repeated, ["endpoint_pattern", "http_method"], "left").unionByName(
+        rest.withColumn("_n", F.lit(None).cast("bigint"))
     )
-    joined = configs.join(repeated, ["endpoint_pattern", "http_method"], "left")
     rules.append(("endpoint_pattern, http_method not unique", F.col("_n").isNotNull()))
     violations = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
     return joined.withColumn("violations", violations).select(*configs.columns, "violations")

@@ -25,10 +25,23 @@ def spread_nulls(key, by) -> Column:
     return F.coalesce(F.col(key) if isinstance(key, str) else key, scattered)
 
 
+def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The smallest row of each key; rows with a NULL key match nothing and are left out."""
+    rest = [c for c in df.columns if c not in keys]
+    known = df.dropna(subset=list(keys))
+    return known.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+
+
 def left_join_span(
     df: DataFrame, spans: DataFrame, trace_id: str, span_id: str, spread_by: str
 ) -> DataFrame:
-    """Left join on (trace, span).  ``spans`` has these as ``j_trace_id, j_span_id``."""
+    """Left join on (trace, span).  ``spans`` has these as ``j_trace_id, j_span_id``.
+
+    A span that arrived more than once is one span, so rows do not multiply: of its rows
+    the smallest counts.  They are combined on the map side, and the join needs the same
+    shuffle.  Many rows of one span are split by Spark's skew join, against one row.
+    """
+    spans = one_row_per(spans, ["j_trace_id", "j_span_id"])
     keyed = df.withColumn("_join_span", spread_nulls(span_id, spread_by))
     on = (keyed["_join_span"] == spans["j_span_id"]) & (
         spread_nulls(keyed[trace_id], keyed[spread_by]) == spans["j_trace_id"]

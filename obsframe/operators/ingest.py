@@ -51,13 +51,18 @@ def consumer_lag(records: DataFrame, commits: DataFrame) -> DataFrame:
     )
 
 
-def consumer_spans(parsed: DataFrame, service: str = fixed.SERVICE) -> DataFrame:
-    """Root span of each consumed message, linked to the producer's span context."""
+def consumer_spans(
+    parsed: DataFrame, service: str = fixed.SERVICE, attribute: tuple[str, str] = fixed.LINK_ATTRIBUTE
+) -> DataFrame:
+    """Root span of each consumed message, linked to the producer's span context.
+
+    The link carries one ``attribute``; a message without a valid context has no link.
+    """
     identity = F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
     link = F.struct(
         F.col("linked_trace_id").alias("trace_id"),
         F.col("linked_span_id").alias("span_id"),
-        empty_bag().alias("attributes"),
+        F.create_map(*[F.lit(part) for part in attribute]).alias("attributes"),
     )
     no_links = F.array().cast(f"array<{schemas.SPAN_LINK.simpleString()}>")
     return parsed.select(

@@ -79,9 +79,19 @@ def service_edges(spans: DataFrame) -> DataFrame:
     """Calling span and called span, where one is the parent of the other.
 
     Both sides are cut to their kinds and columns before the one shuffle on
-    (trace, span); the caller side has one row per key, so pairs do not multiply.
+    (trace, span).  A caller that arrived more than once is one caller, by its smallest
+    row, so pairs do not multiply.  A caller with very many callees is split by Spark's
+    skew join.
     """
-    return edge_rows(callees(spans).join(callers(spans), paired(), "inner"))
+    return edge_rows(callees(spans).join(one_row_per_caller(callers(spans)), paired(), "inner"))
+
+
+def one_row_per_caller(calling: DataFrame) -> DataFrame:
+    """The smallest row of each caller; those without ids pair with nothing."""
+    keys = ["c_trace_id", "c_span_id"]
+    rest = [c for c in calling.columns if c not in keys]
+    known = calling.dropna(subset=keys)
+    return known.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
 
 
 def service_graph(spans: DataFrame, bounds: Sequence[float] = fixed.EDGE_BOUNDS) -> DataFrame:

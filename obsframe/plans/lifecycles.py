@@ -21,7 +21,14 @@ from obsframe.operators.series import (
     reduce_last,
 )
 from obsframe.operators.servicegraph import service_edges
-from obsframe.operators.spanmetrics import CALL_KEYS, log_count, span_calls, span_latency
+from obsframe.operators.spanmetrics import (
+    CALL_KEYS,
+    log_count,
+    span_calls,
+    span_event_count,
+    span_latency,
+    window_start,
+)
 
 _SPAN_LABELS = {
     "service": "service_name", "span_name": "name", "span_kind": "kind", "status_code": "status_code",
@@ -44,22 +51,68 @@ def call_points(spans: DataFrame, window: str | float = "1 minute") -> DataFrame
     return points_from(totals, fixed.CALLS_METRIC, _SPAN_LABELS, "value", "ts")
 
 
+def latency_points(
+    spans: DataFrame, window: str | float = "1 minute", bounds: Sequence[float] = fixed.SPAN_BOUNDS
+) -> DataFrame:
+    """Cumulative latency histogram of all spans: buckets, counts and sums in seconds."""
+    rows = span_latency(spans, bounds, window).withColumn("le", bound_text("le"))
+    # The last bucket of a histogram has its count and its sum, so no span is read twice.
+    whole = rows.filter("le = '+Inf'")
+    buckets = _accumulated(rows, [*CALL_KEYS, "le"], "bucket_count", window)
+    counts = _accumulated(whole, CALL_KEYS, "count", window)
+    sums = _accumulated(whole, CALL_KEYS, "sum_ns", window).withColumn("value", F.col("value") / 1e9)
+    name = fixed.LATENCY_METRIC
+    return (
+        points_from(buckets, f"{name}_bucket", _SPAN_LABELS | {"le": "le"}, "value", "ts")
+        .unionByName(points_from(counts, f"{name}_count", _SPAN_LABELS, "value", "ts"))
+        .unionByName(points_from(sums, f"{name}_sum", _SPAN_LABELS, "value", "ts"))
+    )
+
+
+def span_event_points(spans: DataFrame, window: str | float = "1 minute", cond=None) -> DataFrame:
+    """Cumulative counter of the span events that meet a condition, by default the database's."""
+    totals = _accumulated(span_event_count(spans, cond, window), [], "events", window)
+    return points_from(totals, fixed.SPAN_EVENT_COUNT_METRIC, {}, "value", "ts")
+
+
 _EDGE_KEYS = ["client", "server", "connection_type"]
 
 
-def _edge_buckets(edges: DataFrame, window: str | float, bounds: Sequence[float]) -> DataFrame:
-    buckets = span_latency(edges, bounds, window, _EDGE_KEYS, duration="server_ns", ts="server_ts")
-    buckets = buckets.withColumn("le", bound_text("le"))
+_EDGE_METRICS = {"server": fixed.EDGE_SERVER_METRIC, "client": fixed.EDGE_CLIENT_METRIC}
+
+
+def _edge_buckets(
+    edges: DataFrame, window: str | float, bounds: Sequence[float], side: str = "server"
+) -> DataFrame:
+    buckets = span_latency(
+        edges, bounds, window, _EDGE_KEYS, duration=f"{side}_ns", ts=f"{side}_ts"
+    ).withColumn("le", bound_text("le"))
     return _accumulated(buckets, [*_EDGE_KEYS, "le"], "bucket_count", window)
 
 
 def edge_latency_points(
-    spans: DataFrame, window: str | float = "1 minute", bounds: Sequence[float] = fixed.EDGE_BOUNDS
+    spans: DataFrame, window: str | float = "1 minute", bounds: Sequence[float] = fixed.EDGE_BOUNDS,
+    side: str = "server",
 ) -> DataFrame:
-    """Cumulative server latency buckets of all service-graph edges."""
-    totals = _edge_buckets(service_edges(spans), window, bounds)
+    """Cumulative latency buckets of all service-graph edges, as their server or client saw them."""
+    totals = _edge_buckets(service_edges(spans), window, bounds, side)
     labels = {k: k for k in [*_EDGE_KEYS, "le"]}
-    return points_from(totals, fixed.EDGE_SERVER_METRIC + "_bucket", labels, "value", "ts")
+    return points_from(totals, _EDGE_METRICS[side] + "_bucket", labels, "value", "ts")
+
+
+def edge_request_points(spans: DataFrame, window: str | float = "1 minute") -> DataFrame:
+    """Cumulative request and failure totals of all service-graph edges, timed by the server."""
+    edges = service_edges(spans).withColumn("window_start", window_start("server_ts", window))
+    counts = edges.groupBy("window_start", *_EDGE_KEYS).agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if("failed").alias("failures")
+    )
+    labels = {k: k for k in _EDGE_KEYS}
+    named = {fixed.EDGE_REQUESTS_METRIC: "requests", fixed.EDGE_FAILED_METRIC: "failures"}
+    parts = [
+        points_from(_accumulated(counts, _EDGE_KEYS, column, window), metric, labels, "value", "ts")
+        for metric, column in named.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def log_count_points(logs: DataFrame, window: str | float = "1 minute") -> DataFrame:

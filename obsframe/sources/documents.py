@@ -14,12 +14,12 @@ def _read_json(spark: SparkSession, path: str, schema, multi_line: bool) -> Data
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_trace_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_trace_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw trace documents.  ``multi_line=False`` reads one document per line, which splits."""
     return _read_json(spark, path, schemas.TRACE_DOCUMENT, multi_line)
 
 
-def read_trace_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_trace_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Trace documents as span rows."""
     return flatten_spans(read_trace_documents(spark, path, multi_line))
 
@@ -69,7 +69,7 @@ def flatten_spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def read_log_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_log_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Log query results as rows of stream labels, time and line."""
     docs = _read_json(spark, path, schemas.LOG_RESULT, multi_line)
     streams = docs.select(F.explode("data.result").alias("r"))
@@ -83,7 +83,7 @@ def read_log_json(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     )
 
 
-def read_metric_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_metric_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Metric query results as samples; a value that is not a number is NULL."""
     docs = _read_json(spark, path, schemas.METRIC_RESULT, multi_line)
     samples = docs.select("status", F.explode("data.result").alias("r"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from obsframe import fixed, schemas
 from obsframe.functions.scalars import (
+    is_valid_span_context,
     header_get,
     json_value,
     message_key,
@@ -108,12 +109,13 @@ def parse_ingestion(records: DataFrame) -> DataFrame:
     error = F.when(F.col("_doc").isNull(), "malformed payload").when(
         F.col("book_id").isNull(), "no valid book_id"
     )
+    valid = is_valid_span_context("_context.trace_id", "_context.span_id")
     return found.select(
         *records.columns,
         "book_id",
         error.alias("error"),
-        F.col("_context.trace_id").alias("linked_trace_id"),
-        F.col("_context.span_id").alias("linked_span_id"),
+        F.when(valid, F.col("_context.trace_id")).alias("linked_trace_id"),
+        F.when(valid, F.col("_context.span_id")).alias("linked_span_id"),
     )
 
 

@@ -72,10 +72,13 @@ def stream_service_edges(
 ) -> DataFrame:
     """Edges of calling and called spans that start within ``wait`` of each other.
 
-    Each side is kept only as long as its partner may still come; then it expires.
+    Each side is kept only as long as its partner may still come; then it expires.  A
+    caller that arrives again within the delay is one caller.
     """
     left = callees(spans_stream).withWatermark("server_ts", delay)
-    right = callers(spans_stream).withWatermark("client_ts", delay)
+    right = callers(spans_stream).withWatermark("client_ts", delay).dropDuplicatesWithinWatermark(
+        ["c_trace_id", "c_span_id"]
+    )
     apart = F.expr(f"INTERVAL {seconds(wait)} SECONDS")
     near = (F.col("server_ts") >= F.col("client_ts") - apart) & (
         F.col("server_ts") <= F.col("client_ts") + apart

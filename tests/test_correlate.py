@@ -175,3 +175,39 @@ def test_red_summary_approximate_and_exact(spark):
 def test_quantile_predicate_is_anchored(spark):
     df = spark.createDataFrame([("insert into x",), ("select insert",), (None,)], "s string")
     assert [r[0] for r in df.select(M.matches_fully("s", "insert.*")).collect()] == [True, False, False]
+
+
+def test_repeated_and_hot_spans_do_not_multiply(spark):
+    """A span that holds a third of all events, and spans that arrived twice."""
+    ids = lambda n: (f"{n % 50:032x}", f"{n % 500 + 1:016x}")
+    rows = [(*ids(n), f"{n % 500 + 7:016x}", f"svc{n % 3}", f"op{n % 500}", "SPAN_KIND_CLIENT") for n in range(500)]
+    table = "trace_id string, span_id string, parent_span_id string, service_name string, name string, kind string"
+    once = spark.createDataFrame(rows, table)
+    again = once.unionByName(once.filter("span_id > '00000000000000c0'")).unionByName(
+        spark.createDataFrame([(None, "x", None, "s", "n", "k"), ("x", None, None, "s", "n", "k")], table)).repartition(5)
+    logs = spark.createDataFrame(
+        [(n, *(ids(7) if n % 3 == 0 else ids(n) if n % 5 else (None, None)), "ERROR", {}) for n in range(3000)],
+        "event_id int, trace_id string, span_id string, severity_text string, tags map<string,string>").withColumn(
+        "ts", F.timestamp_seconds("event_id"))
+    for join in (C.logs_for_traces, lambda e, s: C.correlate_errors(e, s, use="parent").withColumn("tags", F.to_json("tags"))):
+        plain = join(logs.drop("tags") if join is C.logs_for_traces else logs, once)
+        hot = join(logs.drop("tags") if join is C.logs_for_traces else logs, again)
+        assert hot.count() == 3000 and hot.exceptAll(plain).count() == 0
+    servers = spark.createDataFrame(
+        [(*([rows[7][0]] if n % 3 == 0 else [rows[n % 500][0]]), f"{n + 9000:016x}", rows[7 if n % 3 == 0 else n % 500][1],
+          "svc9", "op", "SPAN_KIND_SERVER") for n in range(900)], table)
+    timed = lambda df: df.selectExpr(
+        "*", "'STATUS_CODE_UNSET' as status_code", "timestamp_seconds(1) as start_ts", "5L as duration_ns")
+    assert G.service_edges(timed(again.unionByName(servers))).count() == 900
+
+
+def test_invalid_headers_link_nothing(spark):
+    good = "00-" + "a" * 32 + "-" + "b" * 16 + "-01"
+    headers = [good, "00-xyz-abc-01", "00-" + "0" * 32 + "-" + "b" * 16 + "-01", "00-" + "a" * 32 + "-" + "0" * 16 + "-01", "00", None]
+    rows = [(f"key-{n}", '{"book_id":1}', [("traceparent", h.encode())] if h else [], "book_ingestion", 0, n) for n, h in enumerate(headers)]
+    records = spark.createDataFrame(
+        rows, "key string, value string, headers array<struct<key:string,value:binary>>, topic string, partition int, `offset` bigint"
+    ).withColumn("timestamp", F.timestamp_seconds("offset"))
+    spans = I.consumer_spans(parse_ingestion(records)).orderBy("start_ts").collect()
+    assert [len(r.links) for r in spans] == [1, 0, 0, 0, 0, 0]
+    assert spans[0].links[0].attributes == {"somekey": "somevalue"} and spans[0].links[0].span_id == "b" * 16

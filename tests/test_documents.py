@@ -50,7 +50,7 @@ def write(spark, label, *docs, indent=None):
 
 @pytest.fixture(scope="module")
 def spans(spark):
-    return read_trace_json(spark, write(spark, "doc", DOC, indent=1))
+    return read_trace_json(spark, write(spark, "doc", DOC, indent=1), multi_line=True)
 
 
 def test_spans_are_flattened(spans):
@@ -68,7 +68,7 @@ def test_spans_are_flattened(spans):
 
 
 def test_one_document_per_line(spark):
-    assert read_trace_json(spark, write(spark, "docs", DOC, DOC), multi_line=False).count() == 6
+    assert read_trace_json(spark, write(spark, "docs", DOC, DOC)).count() == 6
 
 
 def test_expected_span_and_error_in_any_scope(spans):

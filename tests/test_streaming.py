@@ -112,7 +112,7 @@ def test_edges_pair_across_batches_and_expire(spark):
     client, server = "SPAN_KIND_CLIENT", "SPAN_KIND_SERVER"
     batches = [
         [row("t1", "c1", None, client, 0), row("t2", "s2", "c2", server, 1_000_000)],
-        [row("t1", "s1", "c1", server, 3_000_000), row("t2", "c2", None, client, 500_000)],
+        [row("t1", "s1", "c1", server, 3_000_000), row("t2", "c2", None, client, 500_000), row("t1", "c1", None, client, 0)],
         [row("t3", "c3", None, client, 600_000_000), row("t1", "s9", "c1", server, 300_000_000)],
     ]
     frames = [spark.createDataFrame(b, schema.replace("start_ts timestamp", "us bigint")).withColumn(

@@ -92,7 +92,8 @@ def telemetry_coverage(spark, sf):
 
 @query("j4_link_ingestion", _V(["messages", "spans"], """
   SELECT md5('consume:book_ingestion:' || CAST(part AS VARCHAR) || ':' || CAST(off AS VARCHAR)) AS consumer_trace_id,
-    split_part(traceparent, '-', 3) AS linked_span_id, s.service_name AS producer_service, s.name AS producer_name
+    CASE WHEN m.event_id % 19 <> 0 AND m.event_id % 23 <> 0 THEN split_part(traceparent, '-', 3) END AS linked_span_id,
+    s.service_name AS producer_service, s.name AS producer_name
   FROM messages m LEFT JOIN spans s ON s.trace_id = split_part(m.traceparent, '-', 2)
     AND s.span_id = split_part(m.traceparent, '-', 3) AND s.kind = 'SPAN_KIND_PRODUCER'"""))
 def link_ingestion(spark, sf):
@@ -137,7 +138,7 @@ def breadcrumb_count(spark, sf):
   SELECT event_id, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL
       ELSE CAST(substr(key, 5) AS INT) END AS book_id,
     CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'malformed payload' WHEN event_id % 17 = 0 THEN 'no valid book_id' END AS error,
-    split_part(traceparent, '-', 2) AS linked_trace_id FROM messages"""))
+    CASE WHEN event_id % 19 <> 0 AND event_id % 23 <> 0 THEN split_part(traceparent, '-', 2) END AS linked_trace_id FROM messages"""))
 def parse_ingestion(spark, sf):
     parsed = MS.parse_ingestion(as_records(view(spark, sf, "messages")))
     event_id = (F.col("offset") * 3 + F.col("partition")).alias("event_id")

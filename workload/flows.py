@@ -8,7 +8,7 @@ from obsframe.operators.series import bound_text
 from obsframe.plans import lifecycles as P
 from workload.registry import query
 from workload.series import _GRID, _HOUR, _STATES, _STREAKS, _rate_ctes, reduced
-from workload.spans import _EDGES, _KEYS, _bounds
+from workload.spans import _EDGES, _KEYS, _bounds, with_events
 from workload.views import as_logs, us, view, with_views
 
 _V = with_views
@@ -88,6 +88,61 @@ def edge_latency_points(spark, sf):
                          us("ts"), "value")
 
 
+_SPAN_LABELS = {"service": "service_name", "span_name": "name", "span_kind": "kind", "status_code": "status_code"}
+_OVER = f"OVER (PARTITION BY {_KEYS}, le ORDER BY w)"
+
+
+@query("w1_latency_points", _V(["spans"], f"""
+  SELECT 'traces_spanmetrics_latency_bucket' AS metric, {_KEYS}, le, epoch_us(w) + 86400000000 AS ts_us,
+    CAST(sum(n) {_OVER} AS DOUBLE) AS value FROM d
+  UNION ALL SELECT 'traces_spanmetrics_latency_count', {_KEYS}, NULL, epoch_us(w) + 86400000000,
+    CAST(sum(n) {_OVER} AS DOUBLE) FROM d WHERE le = '+Inf'
+  UNION ALL SELECT 'traces_spanmetrics_latency_sum', {_KEYS}, NULL, epoch_us(w) + 86400000000,
+    CAST(sum(ns) {_OVER} AS DOUBLE) / 1e9 FROM d WHERE le = '+Inf'""",
+    bounds=_bounds(fixed.SPAN_BOUNDS),
+    d=f"""SELECT {_KEYS}, le, time_bucket(INTERVAL 1 DAY, start_ts) AS w, count(*) FILTER (WHERE duration_ns <= le_ns) AS n,
+      sum(duration_ns) AS ns FROM spans CROSS JOIN bounds GROUP BY ALL"""))
+def latency_points(spark, sf):
+    points = P.latency_points(view(spark, sf, "spans"), "1 day")
+    return points.select("metric", *[value_of("labels", k).alias(c) for k, c in (_SPAN_LABELS | {"le": "le"}).items()],
+                         us("ts"), "value")
+
+
+@query("w4_edge_client_points", _V(["spans"], """
+  SELECT client, server, connection_type, le, epoch_us(w) + 86400000000 AS ts_us,
+    CAST(sum(n) OVER (PARTITION BY client, server, connection_type, le ORDER BY w) AS DOUBLE) AS value FROM d""",
+    e=_EDGES.replace("SELECT s.trace_id,", "SELECT c.start_ts AS client_ts, s.trace_id,"),
+    bounds=_bounds(fixed.EDGE_BOUNDS),
+    d="""SELECT client, server, connection_type, le, time_bucket(INTERVAL 1 DAY, client_ts) AS w,
+      count(*) FILTER (WHERE client_ns <= le_ns) AS n FROM e CROSS JOIN bounds GROUP BY ALL"""))
+def edge_client_points(spark, sf):
+    points = P.edge_latency_points(view(spark, sf, "spans"), "1 day", side="client")
+    return points.select(*[value_of("labels", k).alias(k) for k in ("client", "server", "connection_type", "le")],
+                         us("ts"), "value")
+
+
+@query("w1_edge_request_points", _V(["spans"], """
+  SELECT metric, client, server, connection_type, epoch_us(w) + 86400000000 AS ts_us,
+    CAST(sum(n) OVER (PARTITION BY metric, client, server, connection_type ORDER BY w) AS DOUBLE) AS value FROM d""",
+    e=_EDGES.replace("SELECT s.trace_id,", "SELECT s.start_ts AS server_ts, s.trace_id,"),
+    d="""SELECT metric, client, server, connection_type, time_bucket(INTERVAL 1 DAY, server_ts) AS w,
+      CAST(sum(CASE WHEN metric = 'traces_service_graph_request_total' OR failed THEN 1 ELSE 0 END) AS BIGINT) AS n
+      FROM e CROSS JOIN (VALUES ('traces_service_graph_request_total'), ('traces_service_graph_request_failed_total')) m(metric)
+      GROUP BY ALL"""))
+def edge_request_points(spark, sf):
+    points = P.edge_request_points(view(spark, sf, "spans"), "1 day")
+    return points.select("metric", *[value_of("labels", k).alias(k) for k in ("client", "server", "connection_type")],
+                         us("ts"), "value")
+
+
+@query("w1_span_event_points", _V(["spans"], """
+  SELECT 'bt.span.event.count' AS metric, epoch_us(w) + 86400000000 AS ts_us, CAST(sum(n) OVER (ORDER BY w) AS DOUBLE) AS value
+  FROM (SELECT time_bucket(INTERVAL 1 DAY, start_ts) AS w, sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END) AS n
+    FROM spans GROUP BY 1)"""))
+def span_event_points(spark, sf):
+    return P.span_event_points(with_events(view(spark, sf, "spans")), "1 day").select("metric", us("ts"), "value")
+
+
 @query("a5_log_count_points", _V(["logs"], r"""
   SELECT file_path, epoch_us(w) + 86400000000 AS ts_us, CAST(sum(n) OVER (PARTITION BY file_path ORDER BY w) AS DOUBLE) AS value
   FROM (SELECT coalesce(nullif(regexp_extract(name, '^(?:event\s+)?([^\s:]+):(\d+)', 1), ''), 'unspecified_file_path') AS file_path,

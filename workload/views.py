@@ -130,7 +130,9 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "ELSE '{\"book_id\":' || CAST(user_id AS STRING) || '}' END"
         ),
         "traceparent": (
-            f"CASE WHEN {_UNLINKED} THEN NULL ELSE '00-' || {_TRACE_ID} || '-' || {_SPAN_ID} || '-01' END"
+            f"CASE WHEN {_UNLINKED} THEN NULL WHEN event_id % 19 = 0 THEN '00-xyz-abc-01' "
+            f"WHEN event_id % 23 = 0 THEN '00-{'0' * 32}-' || {_SPAN_ID} || '-01' "
+            f"ELSE '00-' || {_TRACE_ID} || '-' || {_SPAN_ID} || '-01' END"
         ),
         "topic": "CASE WHEN event_id >= 0 THEN 'book_ingestion' ELSE 'other' END",
         "part": "CAST(event_id % 3 AS INT)",

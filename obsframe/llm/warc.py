@@ -16,6 +16,7 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
@@ -34,12 +35,13 @@ NAMED = json.dumps({f"&{name}": " " if character == "\xa0" else character for na
 LATIN = json.dumps({
     str(n): bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)})
 # Elements that are dropped with their content, and those that end a line.
-DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>"
+# What is not closed ends with the text, as in a browser; so no pattern looks at a text again and again.
+DROPPED = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<title\b.*?(?:</title\s*>|\z)"
 LINE_TAGS = r"(?i)</?(?:address|article|aside|blockquote|br|div|dd|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
 OTHER_TAGS = r"<[^>]*>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LANGUAGE = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)"
-LINK = r"(?i)<a\b[^>]*?\bhref\s*="
+TITLE = r"(?is)<title\b[^<>]*>(.*?)(?:</title\s*>|\z)"
+LANGUAGE = r"(?is)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)"
+LINK = r"(?i)<a\b[^<>]*?\bhref\s*="
 
 
 def record_id(*parts: Column) -> Column:
@@ -71,20 +73,38 @@ def _character(reference: Column) -> Column:
         F.coalesce(F.element_at(named, reference), begun, reference))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _decoded(text: Column) -> Column:
     """The text with its character references decoded, each once."""
+    return _bound(text, _decoded_once)
+
+
+def _decoded_once(text: Column) -> Column:
     characters = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
     pieces = F.zip_with(
         F.split(text, REFERENCE, -1), characters, lambda piece, character: F.concat(piece, F.coalesce(character, F.lit(""))))
     return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
+def _without_tags(body: Column) -> Column:
+    """Line ends for the tags of blocks, nothing for other tags; what follows the last ``>`` has none."""
+    rest = F.substring_index(body, ">", -1)
+    tagged = F.substr(body, F.lit(1), F.length(body) - F.length(rest))
+    return F.concat(F.regexp_replace(F.regexp_replace(tagged, LINE_TAGS, "\n"), OTHER_TAGS, ""), rest)
+
+
 def plain_text(html: Column) -> Column:
-    """Visible text: one line per block element, single spaces, no empty lines."""
+    """Visible text: one line per block element, single spaces, no empty lines.
+
+    Takes time in proportion to the text, also where comments or tags are not closed.
+    """
     body = F.regexp_replace(F.coalesce(html, F.lit("")), DROPPED, " ")
-    body = F.regexp_replace(F.regexp_replace(body, r"[\r\n]+", " "), LINE_TAGS, "\n")
-    body = _decoded(F.regexp_replace(body, OTHER_TAGS, ""))
-    body = F.regexp_replace(body, r"[ \t]+", " ")
+    body = _bound(F.regexp_replace(body, r"[\r\n]+", " "), _without_tags)
+    body = F.regexp_replace(_decoded(body), r"[ \t]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(body, r" ?\n[ \n]*", "\n"), r"^\n+|\n+$", ""))
 
 
@@ -144,7 +164,8 @@ def derive(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def warc_text(records: DataFrame) -> DataFrame:
     """One string column: the records in the WARC 1.1 format, without the last line end."""
     def header(name: str, value: Column) -> Column:
-        return F.when(value.isNull(), "").otherwise(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")))
+        one_line = F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+        return F.when(value.isNull(), "").otherwise(F.concat(F.lit(f"{name}: "), one_line, F.lit("\r\n")))
 
     def linked(name: str) -> Column:
         return F.concat(F.lit("<"), F.col(name), F.lit(">"))

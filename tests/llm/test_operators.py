@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -323,6 +324,30 @@ def test_character_references(spark):
     assert titles[0].startswith("title: café — it’s 'so'\r\n")
 
 
+def test_odd_pages(spark):
+    cases = [
+        (None, ""), ("", ""), ("<p>a<!-- b <p>c", "a"), ("a<script>x", "a"), ("a < b and <i>c</i> < d", "a c < d"),
+        ("<title>t</title>x<title>y", "x"), ("<p" * 3 + "x", "<p<p<px"), ("a<br>b</p>c", "a\nb\nc"), ("1 &lt; 2 &amp;&amp; 3", "1 < 2 && 3"),
+    ]
+    pages = spark.createDataFrame([(i, "u\r\nx", h) for i, (h, _) in enumerate(cases)] + [(0, "u\r\nx", None)], "page_id int, url string, html string")
+    records = warc.derive(warc.responses_of_pages(pages), keep=("page_id",))
+    got = [(r.page_id, r.block) for r in records.where("record_type = 'conversion'").collect()]
+    assert sorted(got) == sorted([(i, text) for i, (_, text) in enumerate(cases)] + [(0, "")])
+    assert records.count() == 2 * len(got)
+    text = warc.warc_text(records.where("page_id = 7 AND record_type = 'conversion'")).first().value
+    assert "\r\nWARC-Target-URI: u%0D%0Ax\r\n" in text
+    assert warc.derive(warc.responses_of_pages(pages.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script", "<style ", "<title", "<title>", "<p ", "<", "&", "<a <html "])
+def test_unclosed_pages_take_linear_time(spark, piece):
+    page = spark.range(1).select(F.lit(1).alias("page_id"), F.lit("u").alias("url"), F.expr(f"repeat('{piece}', 1000000 div {len(piece)})").alias("html"))
+    records = warc.derive(warc.responses_of_pages(page))
+    began = time.perf_counter()
+    assert records.count() == 2 and records.agg(F.sum("content_length")).first()[0] > 0
+    assert time.perf_counter() - began < 30
+
+
 def test_repeated_rows_of_the_mix(spark):
     rows = [(1, None, "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "x y", None), (2, "x y", None), (3, "z", "a")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

@@ -52,9 +52,49 @@ def dated(df: DataFrame, signal: str) -> DataFrame:
     return df.withColumn("date", F.to_date(EVENT_TIME[signal]))
 
 
-def write_signal(df: DataFrame, signal: str, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Store one signal, partitioned by the day of its event time."""
-    dated(df, signal).write.partitionBy("date").mode(mode).format(fmt).save(path)
+#: The column a stored signal is looked up by.
+LOOKUP = {"traces": "trace_id", "logs": "trace_id", "metrics": "metric"}
+
+
+def clustered(df: DataFrame, signal: str, files_per_day: int) -> DataFrame:
+    """Rows of a day in at most ``files_per_day`` tasks, by the lookup column and sorted by it.
+
+    All rows of a trace and day meet in one file.  Rows without a lookup value are dealt
+    by their time.
+    """
+    key, ts = LOOKUP[signal], EVENT_TIME[signal]
+    salt = F.pmod(F.coalesce(F.xxhash64(F.col(key)), F.lit(0)), F.lit(files_per_day))
+    salt = F.when(F.col(key).isNotNull(), salt).otherwise(F.pmod(F.xxhash64(ts), F.lit(files_per_day)))
+    days = dated(df, signal).withColumn("_salt", salt)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_day)
+    return days.repartition(tasks, "date", "_salt").sortWithinPartitions("date", "_salt", key).drop("_salt")
+
+
+def write_signal(
+    df: DataFrame,
+    signal: str,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "append",
+    files_per_day: int = 16,
+    distinct: int = 1_000_000,
+) -> None:
+    """Store one signal, partitioned by the day of its event time, for lookups by trace.
+
+    A write adds at most ``files_per_day`` files to a day, however many tasks read its
+    input.  Each is sorted by the lookup column and has a Parquet bloom filter on it,
+    for about ``distinct`` values a row group; so a search for one trace reads the
+    row groups that hold it.  One write's day is as many tasks: choose more for days
+    that do not fit them.
+    """
+    key = LOOKUP[signal]
+    writer = clustered(df, signal, files_per_day).write.partitionBy("date").mode(mode).format(fmt)
+    if fmt == "parquet":
+        writer = writer.options(**{
+            f"parquet.bloom.filter.enabled#{key}": "true",
+            f"parquet.bloom.filter.expected.ndv#{key}": str(distinct),
+        })
+    writer.save(path)
 
 
 def stream_signal(
@@ -76,10 +116,19 @@ def fan_in(*points: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), points)
 
 
+def route_out(batch: DataFrame, path: str, sinks: Mapping[str, Column], mode: str = "errorifexists") -> None:
+    """Write each row to all sinks whose condition holds, in one pass and one job.
+
+    The sinks are folders ``sink=<name>`` of one table: nothing is kept between them.
+    """
+    names = F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in sinks.items()]))
+    batch.withColumn("sink", F.explode(names)).write.partitionBy("sink").mode(mode).parquet(path)
+
+
 def fan_out(batch: DataFrame, sinks: Mapping[str, Callable[[DataFrame], None]]) -> None:
-    """Hand one batch to several sinks, computing it once.
+    """Hand one batch to several sinks of any kind, computing it once.
 
-    Usable as the body of ``foreachBatch``.  The batch is kept on executor disks
+    Tables are better served by ``route_out``, which keeps nothing.  Usable as the body of ``foreachBatch``.  The batch is kept on executor disks
     only while the sinks run; a lost block is recomputed.
     """
     kept = batch.persist(StorageLevel.DISK_ONLY) if len(sinks) > 1 else batch

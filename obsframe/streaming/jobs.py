@@ -1,15 +1,15 @@
 """Streams of messages, spans, logs and points.
 
 Jobs that write keep their checkpoint next to their output, in a folder every
-executor reaches.  Output written by ``foreachBatch`` goes to one folder per batch
-and overwrites it, so a repeated batch leaves no duplicates.
+executor reaches.  Output written by ``foreachBatch`` is published batch by batch
+(``streaming/batches.py``), so a repeated batch leaves no duplicates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -19,8 +19,15 @@ from obsframe.functions.scalars import seconds
 from obsframe.operators.attributes import process_logs
 from obsframe.operators.servicegraph import callees, callers, edge_rows, paired
 from obsframe.operators.spanmetrics import CALL_KEYS, bucket_counts, bucket_rows
-from obsframe.sources.messages import parse_ingestion, split_ingestion
-from obsframe.sources.tables import dated, fan_out
+from obsframe.sources.messages import parse_ingestion
+from obsframe.sources.tables import dated
+from obsframe.streaming.batches import commit_batch, read_committed
+
+_INGESTED = {
+    "key": "string", "value": "string", "headers": "array<struct<key:string,value:binary>>", "topic": "string",
+    "partition": "int", "offset": "bigint", "timestamp": "timestamp", "book_id": "int", "error": "string",
+    "linked_trace_id": "string", "linked_span_id": "string",
+}
 
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -28,25 +35,29 @@ def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def _batch_writer(path: str, batch_id: int):
-    return lambda df: df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
 def ingestion_job(
-    records_stream: DataFrame, out: str, dead: str, checkpoint: str, every: str | None = "10 seconds"
+    records_stream: DataFrame, out: str, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
-    """Parse messages into processed rows and dead letters; progress commits after both."""
+    """Parse messages into the sinks ``good`` and ``dead`` of ``out``, which commit together.
+
+    ``read_ingested`` reads them back.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fan_out(parse_ingestion(batch), {
-            "good": lambda df: _batch_writer(out, batch_id)(split_ingestion(df)[0].drop("error")),
-            "dead": lambda df: _batch_writer(dead, batch_id)(split_ingestion(df)[1]),
-        })
+        failed = F.col("error").isNotNull()
+        commit_batch(parse_ingestion(batch), out, batch_id, {"good": ~failed, "dead": failed})
 
     writer = records_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _triggered(writer, every).start()
 
 
+def read_ingested(spark: SparkSession, out: str, sink: str) -> DataFrame:
+    """Messages that ``ingestion_job`` has committed: ``good`` or ``dead``."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in _INGESTED.items())
+    rows = read_committed(spark, out, schema, sink)
+    return rows.drop("error") if sink == "good" else rows
+
+
 def stream_span_metrics(
     spans_stream: DataFrame,
     window: str = "1 minute",
@@ -96,27 +107,38 @@ def stream_logs(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Rewrite logs, store them by day, and count them per window and source file.
 
-    Returns the query that writes ``out/logs`` and the one that writes ``out/counts``.
+    The source is read and rewritten once; what is counted are the stored logs, of which
+    only the time and the source file are read.  Returns the query that writes
+    ``out/logs`` and the one that writes ``out/counts``.  With ``every=None`` the logs
+    are stored before the second begins.
     """
-    processed = process_logs(logs_stream)
+    processed = dated(process_logs(logs_stream), "logs")
     file_path = F.coalesce(value_of("attributes", "file_path"), F.lit(fixed.UNSPECIFIED_FILE))
-    counts = (
+    store = _triggered(
         processed.withColumn("file_path", file_path)
+        .writeStream.partitionBy("date")
+        .format("parquet")
+        .option("path", f"{out}/logs")
+        .option("checkpointLocation", f"{checkpoint}/logs"),
+        every,
+    ).start()
+    if every is None:
+        store.awaitTermination()
+    else:
+        store.processAllAvailable()
+    stored = processed.withColumn("file_path", file_path).schema
+    counts = (
+        logs_stream.sparkSession.readStream.schema(stored)
+        .parquet(f"{out}/logs")
+        .select("ts", "file_path")
         .withWatermark("ts", delay)
         .groupBy(F.window("ts", window), "file_path")
         .agg(F.count(F.lit(1)).alias("logs"))
         .select(F.col("window.start").alias("window_start"), "file_path", "logs")
     )
-    store = (
-        dated(processed, "logs")
-        .writeStream.partitionBy("date")
-        .format("parquet")
-        .option("path", f"{out}/logs")
-        .option("checkpointLocation", f"{checkpoint}/logs")
-    )
     count = (
         counts.writeStream.format("parquet")
         .option("path", f"{out}/counts")
         .option("checkpointLocation", f"{checkpoint}/counts")
     )
-    return _triggered(store, every).start(), _triggered(count, every).start()
+    return store, _triggered(count, every).start()

@@ -20,6 +20,8 @@ from obsframe.streaming import (
     stream_span_metrics,
 )
 from obsframe.streaming import alerts as A
+from obsframe.streaming import batches as B
+from obsframe.streaming import commit_batch, compact, read_committed, read_ingested
 from workload.views import as_logs, as_records, view
 
 MIN = 60_000_000
@@ -224,12 +226,62 @@ def test_ingestion_job(spark, sf_dir):
     root = fresh_dir(spark, "st1")
     records = as_records(view(spark, sf_dir, "messages"))
     write_ingestion(records, "parquet", path=f"{root}/topic")
+    assert read_ingested(spark, f"{root}/out", "good").count() == 0
     for _ in range(2):
         stream = read_ingestion_stream(spark, "parquet", path=f"{root}/topic")
-        ingestion_job(stream, f"{root}/good", f"{root}/dead", f"{root}/cp", every=None).awaitTermination()
-    good, dead = spark.read.parquet(f"{root}/good"), spark.read.parquet(f"{root}/dead")
+        ingestion_job(stream, f"{root}/out", f"{root}/cp", every=None).awaitTermination()
+    good, dead = (read_ingested(spark, f"{root}/out", sink) for sink in ("good", "dead"))
     assert good.count() + dead.count() == records.count() and dead.count() > 0
     assert good.filter("book_id is null").count() == 0 and dead.filter("error is null").count() == 0
+    assert good.schema["headers"].dataType == records.schema["headers"].dataType
+
+
+def test_a_batch_is_seen_in_all_sinks_or_in_none(spark, monkeypatch):
+    root, rows = fresh_dir(spark, "sinks"), spark.range(100)
+    sinks = {"all": F.lit(True), "even": F.col("id") % 2 == 0}
+    read = lambda sink=None: read_committed(spark, root, "id bigint", sink)
+    assert read("all").count() == 0
+    commit_batch(rows, root, 0, sinks)
+    commit_batch(rows, root, 0, sinks)  # repeated after it was published
+    assert (read("all").count(), read("even").count(), read().count()) == (100, 50, 150)
+    publish = B._publish
+
+    def killed(*args):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(B, "_publish", killed)
+    with pytest.raises(RuntimeError):
+        commit_batch(rows, root, 1, sinks)
+    assert (read("all").count(), read("even").count()) == (100, 50)
+    monkeypatch.setattr(B, "_publish", publish)
+    commit_batch(rows, root, 1, sinks)  # the retry
+    commit_batch(rows.filter("id < 10"), root, 2, sinks)
+    before = sorted(map(tuple, read().collect()))
+    monkeypatch.setattr(B, "_publish", killed)
+    with pytest.raises(RuntimeError):
+        compact(spark, root, "id bigint")
+    assert sorted(map(tuple, read().collect())) == before
+    monkeypatch.setattr(B, "_publish", publish)
+    assert compact(spark, root, "id bigint", files=2) == 3 and compact(spark, root, "id bigint") == 0
+    assert sorted(map(tuple, read().collect())) == before and len(read().inputFiles()) <= 4
+    commit_batch(rows, root, 1, sinks)  # covered by the compaction
+    commit_batch(rows, root, 3, sinks)
+    assert read("all").count() == 310
+
+
+def test_a_trace_is_found_without_reading_the_others(spark, spans):
+    path = fresh_dir(spark, "store")
+    many = spans.withColumns({"start_ts": F.lit("2024-01-01").cast("timestamp"), "trace_id": F.md5("span_id")}).unionByName(
+        spans.limit(20).withColumns({"start_ts": F.lit("2024-01-02").cast("timestamp"), "trace_id": F.lit(None).cast("string")}))
+    write_signal(many.repartition(40), "traces", path, files_per_day=8)
+    files = spark.read.parquet(path).select("date", F.input_file_name().alias("f")).distinct().groupBy("date").count().collect()
+    assert all(r["count"] <= 8 for r in files) and len(files) == 2
+    total = spark.read.parquet(path).count()
+    assert total == many.count()
+    wanted = many.first().trace_id
+    found = spark.read.parquet(path).filter(F.col("trace_id") == wanted).select("span_id")
+    assert len(found.collect()) == 1
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() < total / 2
 
 
 def test_sinks_receive_each_row_once(spark, spans):

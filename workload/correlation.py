@@ -286,9 +286,6 @@ def write_signal(spark, sf):
 @query("u2_fan_out", _V(["logs"], """
   SELECT 'store' AS sink, event_id FROM logs UNION ALL SELECT 'errors', event_id FROM logs WHERE severity_text = 'ERROR'"""))
 def fan_out(spark, sf):
-    a, b = fresh_dir(spark, "store"), fresh_dir(spark, "errors")
-    T.fan_out(view(spark, sf, "logs"), {
-        "store": lambda df: df.write.parquet(a),
-        "errors": lambda df: df.filter("severity_text = 'ERROR'").write.parquet(b)})
-    return spark.read.parquet(a).select(F.lit("store").alias("sink"), "event_id").unionByName(
-        spark.read.parquet(b).select(F.lit("errors").alias("sink"), "event_id"))
+    path = fresh_dir(spark, "sinks")
+    T.route_out(view(spark, sf, "logs"), path, {"store": F.lit(True), "errors": F.col("severity_text") == "ERROR"})
+    return spark.read.parquet(path).select("sink", "event_id")

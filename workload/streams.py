@@ -65,9 +65,9 @@ def ingestion_job(spark, sf):
     root = fresh_dir(spark, "ingest")
     as_records(view(spark, sf, "messages")).write.parquet(f"{root}/topic")
     stream = MS.read_ingestion_stream(spark, "parquet", path=f"{root}/topic")
-    J.ingestion_job(stream, f"{root}/good", f"{root}/dead", f"{root}/checkpoint", every=None).awaitTermination()
+    J.ingestion_job(stream, f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
     event_id = (F.col("offset") * 3 + F.col("partition")).alias("event_id")
-    read = lambda name: spark.read.parquet(f"{root}/{name}").select(
+    read = lambda name: J.read_ingested(spark, f"{root}/out", name).select(
         F.lit(name).alias("sink"), event_id, "book_id", "linked_span_id")
     return read("good").unionByName(read("dead"))
 

@@ -1,7 +1,7 @@
 """Known texts of common licences, as data for ``licenses.scan``.
 
 ``table`` adds to ``licenses.KNOWN`` short texts, notices made of names and phrases, and
-digests of long texts. The registered query does not use it: its SQL lists ``KNOWN``.
+digests of long texts. The registered query scans for all of them.
 """
 
 from __future__ import annotations
@@ -110,9 +110,14 @@ LONG_TEXTS = (
 def notices() -> list[tuple[str, str]]:
     """(licence, text) of one-line notices and SPDX lines."""
     made = [(name, phrase + called) for name, names in NAMES.items() for called in names for phrase in PHRASES]
+    return made + identifiers()
+
+
+def identifiers() -> list[tuple[str, str]]:
+    """(licence, text) of SPDX lines."""
     spdx = [(name, name) for name in (*NAMES, "0BSD", "Zlib")]
     spdx += [(name, name + end) for name in NAMES if "GPL" in name for end in ("-only", "-or-later")]
-    return made + [(name, f"SPDX-License-Identifier: {short}") for name, short in spdx]
+    return [(name, f"SPDX-License-Identifier: {short}") for name, short in spdx]
 
 
 def short_texts() -> list[tuple[str, str]]:

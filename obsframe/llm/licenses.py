@@ -5,8 +5,8 @@ and looked up in the digests of known licence texts by a hash join. The units lo
 the entire text and each of its lines, so a one-line notice is found as well as a document
 that is nothing but a licence.
 
-All column expressions and one join; the known digests are a fixed local table of a few
-dozen rows. What is shuffled are found (doc_id, licence) pairs and document ids.
+All column expressions and one join. The known digests are counted and, as long as they are
+few, broadcast; then what is shuffled are found (doc_id, licence) pairs and document ids.
 
 Defined cases: NULL and empty texts and texts of only punctuation or copyright lines have no
 licence; rows that share a doc_id share findings; other columns do not matter.
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsframe.llm.common import written
+
 # Spellings that count as equal, after lower-casing.
 SPELLINGS = (
     ("licence", "license"), ("licencing", "licensing"), ("sub-license", "sublicense"),
@@ -78,6 +80,10 @@ KNOWN = (
 )
 
 
+#: Digests that are broadcast at most: a hundred bytes each, so 25 MB.
+BROADCAST_ROWS = 1 << 18
+
+
 def canonical_lines(text: Column) -> Column:
     """The normalised lines of a text; copyright lines and lines without a letter or digit go."""
     spelled = F.lower(F.coalesce(text, F.lit("")))
@@ -105,8 +111,12 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, licenses (names, sorted, comma-joined; empty if none), n_notices, whole_text.
 
     ``n_notices`` counts the lines that are a known text; ``whole_text`` says that the entire
-    document is one.
+    document is one. ``known`` is written once and counted: up to ``BROADCAST_ROWS`` digests
+    are broadcast, so that lines are neither shuffled nor kept; more are met by a shuffle.
     """
+    known = written(known.select("license", "digest").distinct(), "licences")
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     lines = docs.select("doc_id", canonical_lines(F.col(text)).alias("lines"))
     units = lines.select("doc_id", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), whole_digest(F.col("lines")).alias("digest"))),

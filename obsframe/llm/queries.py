@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.llm import (
-    importance, languages, licenses, mixing, neardup, neighbours, packing, periodic, quality, secrets, substrings,
+    importance, languages, license_table, licenses, mixing, neardup, neighbours, packing, periodic, quality, secrets, substrings,
     voting, warc)
 from obsframe.llm.common import table, written
 
@@ -32,7 +32,11 @@ def _quoted(text: str) -> str:
 @_registered
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences among the entire texts and the lines of all documents."""
-    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+    return licenses.scan(table(spark, sf_dir, "documents"), license_table.table(spark))
+
+
+def _values(rows: Iterable[tuple[str, ...]]) -> str:
+    return ", ".join(f"({', '.join(map(_quoted, row))})" for row in rows)
 
 
 def _canonical_sql(text: str) -> str:
@@ -47,9 +51,15 @@ def _canonical_sql(text: str) -> str:
 
 
 ORACLES["op1_license_scan"] = f"""
-WITH texts(license, known_text) AS (VALUES {", ".join(
-    f"({_quoted(name)}, {_quoted(text)})" for name, text in licenses.KNOWN)}),
-known AS (SELECT DISTINCT license, md5(array_to_string({_canonical_sql("known_text")}, ' ')) AS digest FROM texts),
+WITH listed(license, known_text) AS (VALUES {_values(
+    [*licenses.KNOWN, *license_table.identifiers(), *license_table.short_texts()])}),
+names(license, called) AS (VALUES {_values((n, called) for n, names in license_table.NAMES.items() for called in names)}),
+phrases(phrase) AS (VALUES {_values((p,) for p in license_table.PHRASES)}),
+texts AS (SELECT * FROM listed UNION ALL SELECT license, phrase || called FROM names CROSS JOIN phrases),
+long_texts(license, digest) AS (VALUES {_values(license_table.LONG_TEXTS)}),
+known AS (
+  SELECT license, md5(array_to_string({_canonical_sql("known_text")}, ' ')) AS digest FROM texts
+  UNION SELECT license, digest FROM long_texts),
 lines AS (SELECT doc_id, {_canonical_sql("text")} AS lines FROM documents),
 units AS (
   SELECT doc_id, TRUE AS whole, md5(array_to_string(lines, ' ')) AS digest FROM lines WHERE len(lines) > 0
@@ -90,7 +100,7 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document; sources weigh 5, 2, 1, repeating."""
     sizes = written(mixing.sized(table(spark, sf_dir, "documents")), "mix-sizes")
-    return mixing.words_taken(sizes)
+    return mixing.taken(mixing.mix(sizes))
 
 
 ORACLES["op4_source_mix"] = rf"""
@@ -126,10 +136,15 @@ targets AS (
   SELECT source, source_size, position, total,
          CASE WHEN is_full THEN CAST(capacity AS DOUBLE)
               ELSE CAST(rest AS DOUBLE) * CAST(weight AS DOUBLE) / CAST(rest_weight AS DOUBLE) END AS target,
-         greatest(CAST(ceil(total / {float(mixing.SLOTS)}) AS BIGINT), 1) AS block
+         least(CAST(ceil(total / {float(mixing.SLOTS)}) AS BIGINT),
+               min(CASE WHEN (CASE WHEN is_full THEN CAST(capacity AS DOUBLE)
+                    ELSE CAST(rest AS DOUBLE) * CAST(weight AS DOUBLE) / CAST(rest_weight AS DOUBLE) END) > 0
+                   THEN CAST(floor((CASE WHEN is_full THEN CAST(capacity AS DOUBLE)
+                    ELSE CAST(rest AS DOUBLE) * CAST(weight AS DOUBLE) / CAST(rest_weight AS DOUBLE) END)
+                    / {float(mixing.LEAST_BLOCKS)}) AS BIGINT) END) OVER ()) AS narrow
   FROM shared),
 cut AS (
-  SELECT *, CAST(ceil(CAST(total AS DOUBLE) / block) AS BIGINT) AS n_slots,
+  SELECT *, greatest(narrow, 1) AS block, CAST(ceil(CAST(total AS DOUBLE) / greatest(narrow, 1)) AS BIGINT) AS n_slots,
          CAST(sum(CAST(floor(target) AS BIGINT)) OVER (ORDER BY position
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative,
          position = max(position) OVER () AS is_last

@@ -297,6 +297,21 @@ def test_tiny_sources_among_large_ones(spark):
     assert len(got) == 7 and all(abs(r.taken - r.target) <= max(0.02 * r.target, 20) for r in got), got
 
 
+def test_sql_of_tiny_sources(spark):
+    """The registered SQL on sources of 300 words among one of 3 million, where blocks are narrow."""
+    rows = [(i, "w " * 20_000, "large") for i in range(150)] + [(1000 + i, "w " * 30, f"tiny{i % 2}") for i in range(20)] + [
+        (None, "a b", "tiny0"), (None, None, "tiny1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    path = registered.written(docs, "tiny").inputFiles()
+    got = mixing.taken(mixing.mix(registered.written(mixing.sized(docs), "sizes")))
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet({[p.removeprefix('file://') for p in path]})")
+        found = db.execute(registered.ORACLES["op4_source_mix"])
+        columns = [c[0] for c in found.description]
+        want = sorted(map(str, found.fetchall()))
+    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == want
+
+
 def test_deduplicated_rows_with_repeated_and_missing_ids(spark):
     a, b, c = prose(11, 90), prose(12, 90), prose(13, 90)
     rows = [(5, a, "x"), (5, b, "x"), (7, b, "x"), (None, c, "x"), (None, c, "y"), (None, a, "x"), (None, prose(14, 90), "x"),

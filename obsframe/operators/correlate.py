@@ -26,10 +26,13 @@ def spread_nulls(key, by) -> Column:
 
 
 def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The smallest row of each key; rows with a NULL key match nothing and are left out."""
+    """One row of each key, with the smallest value of every other column.
+
+    Column by column, so that columns nobody asks for are not read.  Rows with a NULL key
+    match nothing and are left out.
+    """
     rest = [c for c in df.columns if c not in keys]
-    known = df.dropna(subset=list(keys))
-    return known.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest])
 
 
 def left_join_span(
@@ -38,7 +41,7 @@ def left_join_span(
     """Left join on (trace, span).  ``spans`` has these as ``j_trace_id, j_span_id``.
 
     A span that arrived more than once is one span, so rows do not multiply: of its rows
-    the smallest counts.  They are combined on the map side, and the join needs the same
+    the smallest values count.  They are combined on the map side, and the join needs the same
     shuffle.  Many rows of one span are split by Spark's skew join, against one row.
     """
     spans = one_row_per(spans, ["j_trace_id", "j_span_id"])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsframe import fixed
+from obsframe.operators.correlate import one_row_per
 from obsframe.operators.spanmetrics import bucket_counts
 
 # Kind of the calling span and of the span it causes.
@@ -80,18 +81,10 @@ def service_edges(spans: DataFrame) -> DataFrame:
 
     Both sides are cut to their kinds and columns before the one shuffle on
     (trace, span).  A caller that arrived more than once is one caller, by its smallest
-    row, so pairs do not multiply.  A caller with very many callees is split by Spark's
+    values, so pairs do not multiply.  A caller with very many callees is split by Spark's
     skew join.
     """
-    return edge_rows(callees(spans).join(one_row_per_caller(callers(spans)), paired(), "inner"))
-
-
-def one_row_per_caller(calling: DataFrame) -> DataFrame:
-    """The smallest row of each caller; those without ids pair with nothing."""
-    keys = ["c_trace_id", "c_span_id"]
-    rest = [c for c in calling.columns if c not in keys]
-    known = calling.dropna(subset=keys)
-    return known.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    return edge_rows(callees(spans).join(one_row_per(callers(spans), ["c_trace_id", "c_span_id"]), paired(), "inner"))
 
 
 def service_graph(spans: DataFrame, bounds: Sequence[float] = fixed.EDGE_BOUNDS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with all but the needed columns under generated names, and how to give them back.
+
+    So no column that comes along can clash with one that an operator adds.
+    """
+    names = [c if c in needed else f"_carried_{i}" for i, c in enumerate(docs.columns)]
+    given = list(docs.columns)
+    return docs.toDF(*names), lambda df: df.select(*[F.col(n).alias(c) for n, c in zip(names, given)])
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for NULL."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

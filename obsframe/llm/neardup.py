@@ -12,8 +12,11 @@
 4. In a bucket, leaders are compared with the members of other components: one leader in the
    first round, 8 in the next (all, in small buckets), then 64, 512. First come those that meet
    most members in all their buckets: the original of many edited copies is nearer to each
-   than they are to each other. Members whose set sizes rule a link out are not compared.
-   Compared leaders retire, pairs within one
+   than they are to each other. Members whose set sizes rule a link out are not compared, nor
+   are those whose part counts do: shingles are dealt to ``PARTS`` parts by their hash, and two
+   sets have no more shingles in common than the sum over the parts of the smaller of their two
+   counts. Edited copies of one text have lost and gained shingles in different parts, so
+   this leaves few pairs without a link, and loses none with one. Compared leaders retire, pairs within one
    component are never made, and a bucket ends when all its members are of one component
    or all but one component's have been leaders. So every pair of a bucket is linked, in
    one component already, or was compared; without making all pairs of a group of copies.
@@ -37,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import in_batches, written
+from obsframe.llm.common import in_batches, set_aside, written
 from obsframe.llm.components import connected_components
 from obsframe.llm.hashing import GOLDEN, mixed, word_hashes
 
@@ -50,6 +53,8 @@ MARGIN = 0.14
 LEADERS = (1, 8, 64, 512)
 #: A bucket that needs no more pairs than this is finished in one round.
 AT_ONCE = 4096
+#: Parts that the shingles of a set are counted in, for an upper bound of what two sets share.
+PARTS = 128
 #: Documents that are sketched together inside a task, and the shingles they may have.
 GROUP_DOCS, GROUP_SHINGLES = 2048, 1 << 21
 
@@ -109,6 +114,17 @@ def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def part_counts(hashes: np.ndarray) -> list[int] | None:
+    """How many shingles of a set are in each part; None for sets too large to be counted in 16 bits."""
+    counts = np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=PARTS)
+    return counts.astype(np.int16) if counts.max() < 1 << 15 else None
+
+
+def in_common_at_most(a: str, b: str) -> Column:
+    """Upper bound of the shingles that two sets share, by their part counts."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, n: total + n.cast("int"))
+
+
 def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Likeliest Jaccard similarity from which registers are larger, smaller and equal.
 
@@ -157,6 +173,7 @@ def _profile(shingle: int, rows: int | None = None) -> Callable[[Iterator[pd.Dat
                 if rows is None:
                     out["registers"] = [r.tobytes() for r in registers]
                     out["hashes"] = [s.view(np.int64) for s in sets]
+                    out["parts"] = [part_counts(s) for s in sets]
                 else:
                     whole = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                     out["d1"] = [int.from_bytes(d[:8], "little", signed=True) for d in whole]
@@ -194,12 +211,14 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _pairs(live: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
     """Leaders with the members of other components of their bucket, each pair once."""
-    led = leaders.select(
-        "key", F.col("cid").alias("leader"), F.col("comp").alias("leader_comp"), F.col("n").alias("leader_n"))
-    met = live.select("key", "cid", "n", "comp").join(led, "key").where(
-        (F.col("comp") != F.col("leader_comp"))
-        & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")))
-    return met.select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
+    led = leaders.toDF(*[c if c == "key" else f"leader_{c}" for c in leaders.columns])
+    may = (F.col("comp") != F.col("leader_comp")) & (
+        100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
+    if "parts" in leaders.columns:
+        enough = (100 + percent) * in_common_at_most("parts", "leader_parts") >= percent * (F.col("n") + F.col("leader_n"))
+        may = may & F.coalesce(enough, F.lit(True))
+    met = live.drop("degree", "retired").join(led, "key").where(may)
+    return met.select(F.least("cid", "leader_cid").alias("a"), F.greatest("cid", "leader_cid").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
@@ -227,9 +246,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     involved = live.select(F.col("cid").alias("doc_id")).distinct()
     nodes = written(
         _raw(docs).join(involved, "doc_id").mapInPandas(
-            _profile(shingle), "doc_id bigint, n bigint, registers binary, hashes array<bigint>"
+            _profile(shingle), "doc_id bigint, n bigint, registers binary, hashes array<bigint>, parts array<smallint>"
         ).withColumnRenamed("doc_id", "cid"), "neardup-sets")
     leaders = live.withColumn("rank", _rank()).where("rank = 1").select("key", "cid", "n", "comp")
+    # a doc_id that stands for several texts has no counts, so nothing is ruled out for it
+    counted = nodes.groupBy("cid").agg(F.when(F.count("*") == 1, F.first("parts")).alias("parts"))
     parts, turn = None, 0
     while True:
         found = written(_links(_pairs(live, leaders, percent), nodes, percent), "neardup-links")
@@ -238,7 +259,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         elif not found.isEmpty():
             stars = parts.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             parts = written(connected_components(stars.union(found)), "neardup-components")
-        live = written(_continued(live, leaders, parts), "neardup-buckets")
+        live = _continued(live, leaders, parts)
+        if not turn:  # what is left in the buckets now are mostly pairs without a link
+            live = live.join(counted, "cid")
+        live = written(live, "neardup-buckets")
         turn += 1
         leaders = written(_next_leaders(live, LEADERS[min(turn, len(LEADERS) - 1)]), "neardup-leaders")
         if leaders.isEmpty():
@@ -271,18 +295,18 @@ def _next_leaders(live: DataFrame, count: int) -> DataFrame:
     minor = live.where("NOT retired").join(buckets, "key").where("comp <> largest")
     # the members outside the largest component are fewer than the root of the pairs
     return minor.withColumn("rank", _rank()).where(F.col("rank") <= max(count, math.isqrt(AT_ONCE))).where(
-        (F.col("rank") <= count) | (F.col("pairs") <= AT_ONCE)).select("key", "cid", "n", "comp")
+        (F.col("rank") <= count) | (F.col("pairs") <= AT_ONCE)).select("key", "cid", "n", "comp", "parts")
 
 
 def _continued(live: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFrame:
     """The buckets that still hold several components, with new components and retired leaders."""
     moved = live.drop("comp").join(parts.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
-        "key", "cid", "n", F.coalesce("root", "cid").alias("comp"), "degree", "retired")
+        "key", "n", F.coalesce("root", "cid").alias("comp"), "cid", *[c for c in live.columns if c not in ("key", "cid", "n", "comp")])
     several = moved.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low <> high").select("key")
     led = leaders.select("key", "cid", F.lit(True).alias("led"))
     return moved.join(several, "key").join(led, ["key", "cid"], "left").select(
-        "key", "cid", "n", "comp", "degree", (F.col("retired") | F.col("led").isNotNull()).alias("retired"))
+        *[c for c in moved.columns if c != "retired"], (F.col("retired") | F.col("led").isNotNull()).alias("retired"))
 
 
 def deduplicated(docs: DataFrame, **settings) -> DataFrame:
@@ -291,11 +315,14 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     A row is known by a 64-bit hash of all its columns, so rows that share a doc_id, or have
     none, are documents of their own. Of equal rows one stays.
     """
+    known, given_back = set_aside(docs, "doc_id", "text")
     row = F.md5(F.concat_ws(
-        "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in docs.columns]).cast("binary"))
-    named = docs.withColumn("_row", F.xxhash64(row))
+        "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in known.columns]).cast("binary"))
+    named = known.withColumn("_row", F.xxhash64(row))
     parts = near_duplicates(named.select(F.col("_row").alias("doc_id"), "text"), **settings).select(
         F.col("doc_id").alias("_row"), "component_id")
     kept = named.select("_row", "doc_id").join(parts.distinct(), "_row").groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")).alias("first")).select("first._row")
-    return named.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    # equal rows have met in the join, so telling them apart needs no further shuffle
+    copy = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    return given_back(named.join(kept, "_row", "left_semi").withColumn("_copy", copy).where("_copy = 1"))

@@ -110,6 +110,38 @@ def test_sketches_merge_and_estimate():
     assert abs(found - 2700 / 3300) < 0.15
 
 
+def test_part_counts_bound_what_sets_share(spark):
+    draw = np.random.default_rng(5)
+    rows = []
+    for n in (1, 5, 148, 3000):
+        base = draw.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+        for share in (0.0, 0.5, 0.9, 1.0):
+            other = np.unique(np.concatenate([base[draw.random(n) < share], draw.integers(0, 2**63, max(n // 10, 1), dtype=np.uint64)]))
+            a = np.unique(base)
+            rows.append((neardup.part_counts(a).tolist(), neardup.part_counts(other).tolist(), len(np.intersect1d(a, other)), min(len(a), len(other))))
+    table = spark.createDataFrame(rows, "a array<smallint>, b array<smallint>, common int, least int")
+    got = table.select("*", neardup.in_common_at_most("a", "b").alias("bound")).collect()
+    assert all(r.common <= r.bound <= r.least for r in got)
+    assert neardup.part_counts(np.zeros(40_000, np.uint64)) is None
+
+
+def test_many_edited_copies_of_one_text(spark):
+    """A large group whose members are linked with some others only, against brute force."""
+    draw = random.Random(11)
+    base = prose(31, 120, 5000).split()
+    pairs = []
+    for i in range(260):
+        text = list(base)
+        for _ in range(draw.choice((0, 1, 2, 3, 4, 6, 9))):
+            text[draw.randrange(len(text))] = f"e{draw.randrange(400)}"
+        pairs.append((i, " ".join(text)))
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string").repartition(4)
+    for k, percent in ((3, 85), (5, 80)):
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, shingle=k, percent=percent).collect()}
+        want = brute_components(pairs, k, percent)[0]
+        assert got == want and len(set(want.values())) > 20
+
+
 def test_substrings(docs, rows):
     texts = [words(r[1]) for r in rows]
     seen = Counter(tuple(t[i:i + 35]) for t in texts for i in range(len(t) - 34))
@@ -423,6 +455,39 @@ OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
     assert all(got[i].whole_text for i in (0, 1, *range(13, len(cases))))
 
 
+CLASHING = ("size", "taken", "n_words", "rule_bits", "_words", "_lines", "_windows", "_row", "_n", "_epoch", "_clean", "bucket",
+            "_taken", "_takes", "_of", "_carried_0", "component_id", "base", "n_symbols")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_of_odd_tables(spark, name, stage):
+    """Columns named like the stages' own, NULLs, empty and long texts, repeated rows, and no rows."""
+    texts = [prose(21, 120), prose(21, 120), prose(22, 90) + "\n\n  " + prose(23, 40) + " \n", None, "", "  ", prose(24, 9000), prose(25, 70)]
+    rows = [(i if i != 6 else None, t, "en", f"s{i % 2}" if i else None, 7, *[f"{c}{i}" for c in CLASHING]) for i, t in enumerate(texts)]
+    rows += [rows[7], rows[7], rows[7], rows[3]]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    got = stage(spark, docs, None)
+    assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    held = got.collect()
+    by_mark = {r[5]: r for r in rows}
+    for r in held:
+        given = by_mark[r[5]]
+        assert r[5:] == tuple(given[5:]) and (r.doc_id, r.lang, r.source) == (given[0], given[2], given[3])
+        text = given[1]
+        if r.text != text:
+            assert name == "source mix" and text.startswith(r.text) and r.n_chars == len(r.text) and r.text[-1] not in " \n"
+        else:
+            assert r.n_chars == 7
+    if name == "source mix":
+        copies = Counter(r[5] for r in held)
+        assert all(n <= 3 * sum(x[5] == mark for x in rows) for mark, n in copies.items())
+        sizes = registered.written(mixing.sized(docs), "odd-sizes")
+        total = sum(r.taken for r in mixing.words_taken(sizes).collect())
+        assert sum(len(words(r.text)) for r in held) == total
+    assert stage(spark, docs.limit(0), None).count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns

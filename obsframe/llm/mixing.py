@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import word_count, words, written
+from obsframe.llm.common import set_aside, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -240,27 +240,47 @@ def taken(pieces: DataFrame) -> DataFrame:
     return held.select(*names, "taken").union(empty)
 
 
+def beginning(text: Column, count: Column) -> Column:
+    """The text up to the end of its ``count``-th word, as it is."""
+    ends = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
+    return F.array_join(F.slice(F.split(text, ends, -1), F.lit(1), count.cast("int")), "")
+
+
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix: one row per copy, the last copy cut to the words taken.
 
     A source's blocks are taken from the front of its stream, so a document taken in part
-    is taken from its start.
+    is taken from its start, with its lines and spaces as they are. ``n_chars``, if there, is
+    counted anew where the text was cut. Columns come back as they came, whatever their names.
+
+    Texts are shuffled once, to meet what is taken of them. Rows that are equal in all columns
+    are dealt their takes in any order; of such a group there are four different takes at
+    most, as a source's stream is cut at one place, so what a text meets is one short row.
     """
-    named = docs.withColumn("_row", F.md5(F.concat_ws(
-        "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in docs.columns]).cast("binary")))
-    sizes = written(
-        sized(named.withColumn("_doc", F.col("doc_id")).withColumn("doc_id", F.col("_row"))), "mix-sizes")
-    takes = words_taken(sizes, **settings).where("taken > 0").select(F.col("doc_id").alias("_row"), "size", "taken")
-    # equal rows are interchangeable: their takes are dealt to them in any order
-    dealt = Window.partitionBy("_row").orderBy(F.desc("taken"))
-    same = Window.partitionBy("_row").orderBy(F.lit(0))
-    numbered = named.withColumn("_n", F.row_number().over(same))
-    joined = numbered.join(takes.withColumn("_n", F.row_number().over(dealt)), ["_row", "_n"])
-    epochs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("taken") - 1) / F.col("size")))
-    copies = joined.withColumn("_epoch", F.explode(epochs)).withColumn(
-        "_words", F.least(F.col("size"), F.col("taken") - F.col("_epoch") * F.col("size")))
-    cut = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_words").cast("int")), " ")
-    changed = copies.withColumn("text", F.when(F.col("_words") < F.col("size"), cut).otherwise(F.col("text")))
+    known, given_back = set_aside(docs, "doc_id", "source", "text", "n_chars")
+    row = F.md5(F.concat_ws(
+        "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in known.columns]).cast("binary"))
+    named = known.withColumn("_row", row)
+    sizes = written(sized(named.withColumn("doc_id", F.col("_row"))), "mix-sizes")
+    takes = words_taken(sizes, **settings).groupBy(F.col("doc_id").alias("_of"), "size", "taken").agg(
+        F.count("*").alias("held")).groupBy("_of").agg(
+        F.first("size").alias("_size"), F.sort_array(F.collect_list(F.struct("taken", "held"))).alias("_takes"))
+    copy = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    met = named.join(takes.where(F.exists("_takes", lambda t: t["taken"] > 0)), F.col("_row") == F.col("_of")).withColumn(
+        "_n", copy)
+    # the take of the n-th of equal rows: the first whose running count reaches n
+    none = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("bigint").alias("taken"))
+    dealt = F.aggregate("_takes", none, lambda held, t: F.struct(
+        (held["upto"] + t["held"]).alias("upto"),
+        F.when(held["taken"].isNull() & (held["upto"] + t["held"] >= F.col("_n")), t["taken"]).otherwise(held["taken"]).alias("taken"),
+    ))["taken"]
+    taken_rows = met.withColumn("_taken", dealt).where("_taken > 0")
+    epochs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_taken") - 1) / F.col("_size")))
+    copies = taken_rows.withColumn("_epoch", F.explode(epochs)).withColumn(
+        "_words", F.least(F.col("_size"), F.col("_taken") - F.col("_epoch") * F.col("_size")))
+    is_cut = F.col("_words") < F.col("_size")
+    changed = copies.withColumn("text", F.when(is_cut, beginning(F.col("text"), F.col("_words"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+        changed = changed.withColumn("n_chars", F.when(
+            is_cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return given_back(changed)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import SPACES, deleted_count, words
+from obsframe.llm.common import SPACES, deleted_count, set_aside, words
 
 # Rules by bit, in order of bit. A policy change is a new version, not an edit.
 RULES = (
@@ -148,5 +148,6 @@ def ablation(ledger_rows: DataFrame, policy: str = "full-1") -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, policy: str = "full-1") -> DataFrame:
-    """The documents that a policy keeps, with the columns they came with."""
-    return ledger(docs).where(verdict(policy)).select(*docs.columns)
+    """The documents that a policy keeps, with the columns they came with, whatever their names."""
+    named, given_back = set_aside(docs, "text")
+    return given_back(ledger(named).where(verdict(policy)))

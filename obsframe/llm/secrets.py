@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import in_batches, written
+from obsframe.llm.common import in_batches, set_aside, written
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -247,11 +247,12 @@ def masked(docs: DataFrame, rate: float = RATE) -> DataFrame:
     Documents without secrets are returned as they are. ``n_chars``, if there, is counted
     anew where the text changed.
     """
-    needed = needed_level(written(scan(docs), "secret-scan"), rate)
-    kept = docs.withColumn("_clean", F.col("text"))
+    named, given_back = set_aside(docs, "doc_id", "text", "n_chars")
+    needed = needed_level(written(scan(named), "secret-scan"), rate)
+    kept = named.withColumn("_clean", F.col("text"))
     out = in_batches(kept).mapInPandas(_masker("_clean", needed), kept.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
             F.col("_clean") != F.col("text"), F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(
             F.col("n_chars")))
-    return out.withColumn("text", F.col("_clean")).select(*docs.columns)
+    return given_back(out.withColumn("text", F.col("_clean")))

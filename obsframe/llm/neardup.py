@@ -10,7 +10,7 @@
 3. Bands of registers are bucket keys, as long as two sets at the threshold miss each other in
    all bands with a chance of at most ``MISSED``: 36 bands of 7 for 0.85, 42 of 6 for 0.8.
 4. In a bucket, leaders are compared with the members of other components: one leader in the
-   first round, 8 in the next (all, in small buckets), then 64, 512. First come those that meet
+   first round, 8 in the next (all, in small buckets), then 512. First come those that meet
    most members in all their buckets: the original of many edited copies is nearer to each
    than they are to each other. Members whose set sizes rule a link out are not compared, nor
    are those whose part counts do: shingles are dealt to ``PARTS`` parts by their hash, and two
@@ -50,7 +50,7 @@ BASE = 1.001
 #: The walk value at which an exponent is 0; beyond any value that fills a register.
 CEILING = 2.0 ** 14
 MARGIN = 0.14
-LEADERS = (1, 8, 64, 512)
+LEADERS = (1, 8, 512)
 #: A bucket that needs no more pairs than this is finished in one round.
 AT_ONCE = 4096
 #: Parts that the shingles of a set are counted in, for an upper bound of what two sets share.
@@ -300,7 +300,9 @@ def _next_leaders(live: DataFrame, count: int) -> DataFrame:
 
 def _continued(live: DataFrame, leaders: DataFrame, parts: DataFrame) -> DataFrame:
     """The buckets that still hold several components, with new components and retired leaders."""
-    moved = live.drop("comp").join(parts.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
+    # a bucket without leaders has none to come: all pairs across its components were compared
+    open_ones = live.join(leaders.select("key").distinct(), "key", "left_semi")
+    moved = open_ones.drop("comp").join(parts.select(F.col("node").alias("cid"), "root"), "cid", "left").select(
         "key", "n", F.coalesce("root", "cid").alias("comp"), "cid", *[c for c in live.columns if c not in ("key", "cid", "n", "comp")])
     several = moved.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low <> high").select("key")

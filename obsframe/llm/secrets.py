@@ -27,7 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,28 +150,40 @@ def level_of(token: str, alphabet: str) -> int:
     return min(max(int(bits), 0), LEVELS - 1)
 
 
-def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scanner() -> Callable[[str | None], tuple[list[dict], list[dict]]]:
     assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
     access, hexes, candidate = re.compile(ACCESS), re.compile(HEX), re.compile(CANDIDATE)
-    for frame in frames:
-        rows = []
-        for text in frame["text"]:
-            text = text or ""
-            spans = base_spans(text, assign, access, hexes)
-            tokens = []
-            for m in candidate.finditer(text):
-                if any(start < m.end() and m.start() < end for start, _, end in spans):
-                    continue
-                encoding = encoding_of(m[0])
-                if encoding:
-                    random = looks_random(m[0], encoding[1])
-                    tokens.append({"start": m.start(), "end": m.end(), "encoding": encoding[0],
-                                   "level": level_of(m[0], encoding[1]) if random else -1})
-            rows.append((
-                [{"start": s, "kind": k, "end": e} for s, k, e in spans], tokens))
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "base": [r[0] for r in rows], "tokens": [r[1] for r in rows]})
-
 
+    def scanned(text: str | None) -> tuple[list[dict], list[dict]]:
+        """Base spans and tested tokens of a text."""
+        text = text or ""
+        spans = base_spans(text, assign, access, hexes)
+        tokens = []
+        for m in candidate.finditer(text):
+            if any(start < m.end() and m.start() < end for start, _, end in spans):
+                continue
+            encoding = encoding_of(m[0])
+            if encoding:
+                random = looks_random(m[0], encoding[1])
+                tokens.append({"start": m.start(), "end": m.end(), "encoding": encoding[0],
+                               "level": level_of(m[0], encoding[1]) if random else -1})
+        return [{"start": s, "kind": k, "end": e} for s, k, e in spans], tokens
+
+    return scanned
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scanned = _scanner()
+    for batch in batches:
+        found = [scanned(text) for text in batch.column("text").to_pylist()]
+        # the ids stay in Arrow: pandas makes doubles of them where some are NULL
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([f[0] for f in found], BASE), pa.array([f[1] for f in found], TOKENS)],
+            ["doc_id", "base", "tokens"])
+
+
+BASE = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
+TOKENS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("level", pa.int32())]))
 SCANNED = (
     "doc_id bigint, base array<struct<start:bigint,kind:int,end:bigint>>, "
     "tokens array<struct<start:bigint,end:bigint,encoding:string,level:int>>"
@@ -180,7 +192,7 @@ SCANNED = (
 
 def scan(docs: DataFrame, rowid: str = "doc_id") -> DataFrame:
     """doc_id, base spans and tested tokens of every document."""
-    return in_batches(docs).select(F.col(rowid).cast("bigint").alias("doc_id"), "text").mapInPandas(_scan, SCANNED)
+    return in_batches(docs).select(F.col(rowid).cast("bigint").alias("doc_id"), "text").mapInArrow(_scan, SCANNED)
 
 
 def needed_level(scanned: DataFrame, rate: float = RATE) -> int:
@@ -218,17 +230,25 @@ def joined(spans: str) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def counted(spans: str, kind: str) -> Column:
+    """BIGINT number of spans of a kind."""
+    # a filter's function of two arguments would get the place in the array as its second
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("bigint")
+
+
 def found(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, base and all spans of every document."""
     return spans_of(written(scan(docs), "secret-scan"), rate)
 
 
-def _masker(column: str, needed: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def mask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            scans = pd.concat([*_scan(iter([pd.DataFrame({"doc_id": 0, "text": frame[column]})]))])
+def _masker(column: str, needed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanned = _scanner()
+        for batch in batches:
+            at_column = batch.schema.get_field_index(column)
             clean = []
-            for text, base, tokens in zip(frame[column], scans["base"], scans["tokens"]):
+            for text in batch.column(at_column).to_pylist():
+                base, tokens = scanned(text)
                 spans = sorted([(s["start"], s["end"]) for s in base]
                                + [(t["start"], t["end"]) for t in tokens if t["level"] >= needed])
                 parts, at = [], 0
@@ -237,7 +257,7 @@ def _masker(column: str, needed: int) -> Callable[[Iterator[pd.DataFrame]], Iter
                         parts += [text[at:start], MARK]
                     at = max(at, end)
                 clean.append("".join([*parts, text[at:]]) if spans else text)
-            yield frame.assign(**{column: clean})
+            yield batch.set_column(at_column, batch.schema.field(at_column), pa.array(clean, batch.schema.field(at_column).type))
     return mask
 
 
@@ -250,7 +270,7 @@ def masked(docs: DataFrame, rate: float = RATE) -> DataFrame:
     named, given_back = set_aside(docs, "doc_id", "text", "n_chars")
     needed = needed_level(written(scan(named), "secret-scan"), rate)
     kept = named.withColumn("_clean", F.col("text"))
-    out = in_batches(kept).mapInPandas(_masker("_clean", needed), kept.schema)
+    out = in_batches(kept).mapInArrow(_masker("_clean", needed), kept.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
             F.col("_clean") != F.col("text"), F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(

@@ -22,6 +22,7 @@ from obsframe.streaming import (
 from obsframe.streaming import alerts as A
 from obsframe.streaming import batches as B
 from obsframe.streaming import commit_batch, compact, read_committed, read_ingested
+from workload import QUERIES, streams
 from workload.views import as_logs, as_records, view
 
 MIN = 60_000_000
@@ -299,3 +300,27 @@ def test_signal_stream_flushes_every_ten_seconds(spark, spans):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(f"{root}/out").count() == spans.count()
+
+
+def test_a_table_arrives_in_files_of_bounded_size(spark):
+    table = spark.range(900_000).withColumnRenamed("id", "event_id")
+    stream, root = streams.arriving(table, spark, "event_id", "arriving"), fresh_dir(spark, "arrived")
+    batches = []
+
+    def seen(batch, n):
+        batches.append([(r.low, r.high, r.rows) for r in batch.groupBy(F.col("_metadata.file_path")).agg(
+            F.min("event_id").alias("low"), F.max("event_id").alias("high"), F.count("*").alias("rows")).collect()])
+
+    stream.select("event_id", "_metadata").writeStream.foreachBatch(seen).option("checkpointLocation", root).trigger(
+        availableNow=True).start().awaitTermination()
+    assert [sum(f[2] for f in files) for files in batches] == [300_000] * 3
+    assert max(f[2] for files in batches for f in files) < 2 * streams.FILE_ROWS
+    assert [(min(f[0] for f in files), max(f[1] for f in files)) for files in batches] == [
+        (i * 300_000, (i + 1) * 300_000 - 1) for i in range(3)]
+
+
+@pytest.mark.parametrize("name", ["st3_stream_delta_to_cumulative", "st6_stream_logs"])
+def test_streams_of_many_files_equal_those_of_one(spark, sf_dir, monkeypatch, name):
+    one = sorted(map(str, QUERIES[name](spark, sf_dir).collect()))
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    assert sorted(map(str, QUERIES[name](spark, sf_dir).collect())) == one

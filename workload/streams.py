@@ -19,19 +19,27 @@ _V = with_views
 
 #: Micro-batches that a table is read in.
 BATCHES = 3
+#: Rows of a file, about; what a task of a stream holds grows with them.
+FILE_ROWS = 100_000
 
 
 def arriving(df, spark, by, label):
-    """A table as a stream that gets a file per micro-batch, in the order of an integer column."""
-    low, high = df.agg(F.min(by), F.max(by)).first()
+    """A table as a stream of ``BATCHES`` micro-batches, in the order of an integer column.
+
+    A micro-batch is as many files as its rows need, each a range of the column.
+    """
+    low, high, held = df.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     cuts = [] if low is None else [low + (high + 1 - low) * i // BATCHES for i in range(1, BATCHES)]
+    files = max(1, -(-held // (BATCHES * FILE_ROWS)))
     batch = F.lit(0)
     for cut in cuts:
         batch = batch + (F.col(by) >= cut).cast("int")
     path = fresh_dir(spark, label)
     for i in range(BATCHES):  # files are read in the order they were written in
-        df.filter(F.coalesce(batch, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows = df.filter(F.coalesce(batch, F.lit(0)) == i)
+        rows = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, by)
+        rows.write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def stream_of(spark, sf, name):

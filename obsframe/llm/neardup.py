@@ -55,6 +55,8 @@ LEADERS = (1, 8, 512)
 AT_ONCE = 4096
 #: Parts that the shingles of a set are counted in, for an upper bound of what two sets share.
 PARTS = 128
+#: Bits that tell which documents' texts are needed again; 8 MB.
+ID_BITS = 1 << 26
 #: Documents that are sketched together inside a task, and the shingles they may have.
 GROUP_DOCS, GROUP_SHINGLES = 2048, 1 << 21
 
@@ -187,6 +189,20 @@ def _raw(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
 
 
+def _maybe_among(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is one of the ids, and few others: those that share a bit of ``ID_BITS``.
+
+    So the texts of all other documents are not shuffled. With more ids than bits, more of the
+    others stay, but what is broadcast does not grow.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)) + 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    maps = ids.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    octet = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = octet.bitwiseAND(F.element_at(F.array(*[F.lit(1 << n) for n in range(8)]), (bit % 8).cast("int") + 1)) != 0
+    return raw.join(F.broadcast(maps), (bucket == F.col("_bucket")) & is_set, "left_semi")
+
+
 def _likely(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -245,7 +261,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         F.lit(False).alias("retired")).distinct(), "neardup-buckets")
     involved = live.select(F.col("cid").alias("doc_id")).distinct()
     nodes = written(
-        _raw(docs).join(involved, "doc_id").mapInPandas(
+        _maybe_among(_raw(docs), involved).join(involved, "doc_id").mapInPandas(
             _profile(shingle), "doc_id bigint, n bigint, registers binary, hashes array<bigint>, parts array<smallint>"
         ).withColumnRenamed("doc_id", "cid"), "neardup-sets")
     leaders = live.withColumn("rank", _rank()).where("rank = 1").select("key", "cid", "n", "comp")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from obsframe.llm import languages, license_table, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, warc
 from obsframe.llm import queries as registered
+from obsframe.llm.common import written
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, n bigint, kind string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -93,6 +94,23 @@ def test_near_duplicates_of_the_documents(spark, sf_dir):
     assert got == brute_components([tuple(r) for r in table], 3, 85)[0]
 
 
+def test_few_texts_but_the_needed_ones_go_on(spark):
+    draw = random.Random(7)
+    ids = [draw.randrange(-(2**63), 2**63) for _ in range(3000)] + [0, -1, 2**63 - 1, -(2**63)]
+    raw = spark.createDataFrame([(i, b"x") for i in ids] + [(None, b"y")], "doc_id bigint, raw binary")
+    wanted = set(ids[::10]) | set(ids[-4:])
+    got = {r.doc_id for r in neardup._maybe_among(raw, spark.createDataFrame([(i,) for i in wanted], "doc_id bigint")).collect()}
+    assert wanted <= got and len(got) <= len(wanted) + 10
+
+
+def test_texts_outside_all_buckets_are_not_shuffled(spark, docs, monkeypatch):
+    plans = []
+    monkeypatch.setattr(neardup, "written", lambda df, label: plans.append((label, df)) or written(df, label))
+    neardup.near_duplicates(docs).count()
+    plan = next(df for label, df in plans if label == "neardup-sets")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bits" in plan and "LeftSemi" in plan
+
+
 def test_no_documents(none):
     assert neardup.near_duplicates(none).count() == 0
     assert substrings.without_repeats(none).count() == 0
